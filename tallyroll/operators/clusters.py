@@ -91,52 +91,71 @@ def init_farthest_first(
     return centroid_table(points, columns, farthest_first(points, columns, k, first, seed))
 
 
-def _pass(points: DataFrame, columns: Sequence[str], centroids: Sequence[Centroid]) -> tuple[dict[int, list[float]], float]:
-    """One pass: new means by cluster, and the SSE of the assignment around them.
+def _pass(
+    points: DataFrame, columns: Sequence[str], runs: dict[int, list[Centroid]]
+) -> dict[int, tuple[dict[int, list[float]], float]]:
+    """One pass for all runs: new means by cluster, and the SSE around them.
 
     The squares are taken around the old centroid, so that large coordinates do
     not lose digits: sum |x - m|^2 = sum |x - c|^2 - n |m - c|^2.
     """
     w = F.col(WEIGHT)
-    near = points.withColumn("_near", _nearest(columns, centroids))
-    rows = near.groupBy(F.col("_near.cluster").alias("cluster")).agg(
-        F.sum(w).alias("n"),
-        F.sum(w * F.col("_near.distance")).alias("square"),
-        *[F.sum(w * F.col(c)).alias(f"s{i}") for i, c in enumerate(columns)],
-    ).collect()  # at most k rows
-    means, sse = {}, 0.0
+    nearest = F.array(*[
+        F.struct(F.lit(run).alias("run"), _nearest(columns, centroids).alias("near"))
+        for run, centroids in runs.items()
+    ])
+    rows = (
+        points.select(*columns, WEIGHT, F.inline(nearest))
+        .groupBy("run", F.col("near.cluster").alias("cluster"))
+        .agg(
+            F.sum(w).alias("n"),
+            F.sum(w * F.col("near.distance")).alias("square"),
+            *[F.sum(w * F.col(c)).alias(f"s{i}") for i, c in enumerate(columns)],
+        )
+        .collect()  # one row for each centroid
+    )
+    out = {run: ({}, 0.0) for run in runs}
     for row in rows:
-        old = centroids[row["cluster"]]
+        means, sse = out[row["run"]]
+        old = runs[row["run"]][row["cluster"]]
         mean = [row[f"s{i}"] / row["n"] for i in range(len(columns))]
         means[row["cluster"]] = mean
-        sse += row["square"] - row["n"] * sum((m - c) ** 2 for m, c in zip(mean, old))
-    return means, sse
+        moved = sum((m - c) ** 2 for m, c in zip(mean, old))
+        out[row["run"]] = means, sse + row["square"] - row["n"] * moved
+    return out
 
 
 def lloyd(
-    points: DataFrame, columns: Sequence[str], k: int, start: Sequence[Centroid],
+    points: DataFrame, columns: Sequence[str], starts: dict[int, Sequence[Centroid]],
     sse_tol: float = 0.01, max_passes: int = 1000, seed: int = 0,
-) -> tuple[list[Centroid], float]:
-    """Passes until the SSE changes by at most ``sse_tol``.
+) -> dict[int, tuple[list[Centroid], float]]:
+    """Centroids and SSE of each run, from its starting centroids.
 
-    An empty cluster starts again from k random points. ``points`` carries a
-    weight column (see ``collapse``).
+    A run ends when its SSE changes by at most ``sse_tol``. An empty cluster
+    starts the run again from random points. All open runs share a pass over
+    the points. ``points`` carries a weight column (see ``collapse``).
     """
-    centroids, last = [list(c) for c in start], None
     draws = random.Random(seed)
+    open_runs = {run: [list(c) for c in start] for run, start in starts.items()}
+    last: dict[int, float] = {}
+    done: dict[int, tuple[list[Centroid], float]] = {}
     for _ in range(max_passes):
-        means, sse = _pass(points, columns, centroids)
-        if len(means) < k:
-            drawn = init_random(points, columns, k, draws.randrange(1 << 30)).collect()
-            if len(drawn) < k:
-                raise ValueError(f"fewer than {k} distinct points")
-            centroids, last = [list(r) for r in drawn], None
-            continue
-        centroids = [means[i] for i in range(k)]
-        if last is not None and abs(sse - last) <= sse_tol:
-            return centroids, sse
-        last = sse
-    return centroids, sse
+        for run, (means, sse) in _pass(points, columns, open_runs).items():
+            k = len(open_runs[run])
+            if len(means) < k:
+                drawn = init_random(points, columns, k, draws.randrange(1 << 30)).collect()
+                if len(drawn) < k:
+                    raise ValueError(f"fewer than {k} distinct points")
+                open_runs[run] = [list(row) for row in drawn]
+                last.pop(run, None)
+                continue
+            open_runs[run] = [means[i] for i in range(k)]
+            if run in last and abs(sse - last[run]) <= sse_tol:
+                done[run] = open_runs.pop(run), sse
+            last[run] = sse
+        if not open_runs:
+            return done
+    return done | {run: (centroids, last.get(run, float("nan"))) for run, centroids in open_runs.items()}
 
 
 def kmeans_fit(
@@ -145,7 +164,8 @@ def kmeans_fit(
 ) -> DataFrame:
     """Centroids by farthest-first start and Lloyd passes."""
     weighted = stage(collapse(points, columns), "points")
-    centroids, _ = lloyd(weighted, columns, k, farthest_first(weighted, columns, k, first, seed), sse_tol, seed=seed)
+    start = farthest_first(weighted, columns, k, first, seed)
+    centroids, _ = lloyd(weighted, columns, {k: start}, sse_tol, seed=seed)[k]
     return centroid_table(points, columns, centroids)
 
 
@@ -155,11 +175,9 @@ def kmeans_elbow(
 ) -> DataFrame:
     """SSE for each number of clusters, from random starts."""
     weighted = stage(collapse(points, columns), "points")
-    rows = []
-    for k in ks:
-        start = [list(r) for r in init_random(weighted, columns, k, seed).collect()]
-        rows.append((k, lloyd(weighted, columns, k, start, sse_tol, seed=seed)[1]))
-    return points.sparkSession.createDataFrame(rows, "k int, sse double")
+    drawn = [list(row) for row in init_random(weighted, columns, max(ks), seed).collect()]
+    runs = lloyd(weighted, columns, {k: drawn[:k] for k in ks}, sse_tol, seed=seed)
+    return points.sparkSession.createDataFrame([(k, runs[k][1]) for k in ks], "k int, sse double")
 
 
 def kmeans_fit_vectors(vectors: DataFrame, column: str, k: int, seed: int = 0) -> DataFrame:

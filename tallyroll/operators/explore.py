@@ -138,3 +138,8 @@ def pie_shares(df: DataFrame, name: str, value: str, out: str = "share") -> Data
     """Each row's share of the column's total."""
     total = df.agg(F.sum(value)).scalar()
     return df.select(name, F.try_divide(F.col(value), total).alias(out))
+
+
+def scatter_sample(df: DataFrame, x: str, y: str, fraction: float, seed: int = 0) -> DataFrame:
+    """Two columns of a random share of the rows."""
+    return df.select(x, y).sample(fraction, seed)

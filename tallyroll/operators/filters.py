@@ -75,10 +75,9 @@ def filter_isin(df: DataFrame, column: str, values: Iterable) -> DataFrame:
     return df.where(F.col(column).isin(list(values)))
 
 
-def filter_compound(df: DataFrame, user: int, coupon: int, first: str, last: str) -> DataFrame:
-    """Receipts of one user and coupon inside a closed range of days."""
-    return df.where(
-        (F.col("User_id") == user)
-        & (F.col("Coupon_id") == coupon)
-        & F.col("received_day").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    )
+def filter_compound(df: DataFrame, equal: dict, day: str, first: str, last: str) -> DataFrame:
+    """Rows that match every given value and lie inside a closed range of days."""
+    hit = F.col(day).between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    for column, value in equal.items():
+        hit = hit & (F.col(column) == value)
+    return df.where(hit)

@@ -113,5 +113,3 @@ def sample_rows(df: DataFrame, k: int, seed: int = 0) -> DataFrame:
     return df.orderBy(F.rand(seed)).limit(k)
 
 
-def scatter_sample(df: DataFrame, x: str, y: str, fraction: float, seed: int = 0) -> DataFrame:
-    return df.select(x, y).sample(fraction, seed)
