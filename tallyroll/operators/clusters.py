@@ -55,9 +55,20 @@ def collapse(points: DataFrame, columns: Sequence[str]) -> DataFrame:
     return points.dropna(subset=list(columns)).groupBy(*columns).agg(F.count("*").alias(WEIGHT))
 
 
+def _draw(weighted: DataFrame, columns: Sequence[str], k: int, seed: int) -> DataFrame:
+    """k distinct points, each drawn with a chance that follows its weight.
+
+    The draw is a hash of the point, so it does not change with the partitioning
+    or when a task runs again.
+    """
+    bits = 1 << 31
+    uniform = (F.pmod(F.xxhash64(*columns, F.lit(seed)), F.lit(bits)) + 0.5) / bits
+    return weighted.orderBy(-F.ln(uniform) / F.col(WEIGHT), *columns).limit(k).select(*columns)
+
+
 def init_random(points: DataFrame, columns: Sequence[str], k: int, seed: int = 0) -> DataFrame:
-    """k rows at random."""
-    return points.select(*columns).orderBy(F.rand(seed)).limit(k)
+    """k points at random; copies of a point raise its chance."""
+    return _draw(collapse(points, columns), columns, k, seed)
 
 
 def _farthest(points: DataFrame, columns: Sequence[str], chosen: Sequence[Centroid]) -> Centroid:
@@ -69,10 +80,10 @@ def _farthest(points: DataFrame, columns: Sequence[str], chosen: Sequence[Centro
 def farthest_first(
     points: DataFrame, columns: Sequence[str], k: int, first: Centroid | None = None, seed: int = 0
 ) -> list[Centroid]:
-    """The first point is given or drawn; each next one is the point farthest
+    """The first point is given or drawn from weighted points; each next one is the point farthest
     from those chosen. Ties go to the greatest point. One aggregate per centroid."""
     if first is None:
-        first = list(init_random(points, columns, 1, seed).first())
+        first = list(_draw(points, columns, 1, seed).first())
     chosen = [list(first)]
     while len(chosen) < k:
         chosen.append(_farthest(points, columns, chosen))
@@ -88,7 +99,9 @@ def centroid_table(like: DataFrame, columns: Sequence[str], centroids: Sequence[
 def init_farthest_first(
     points: DataFrame, columns: Sequence[str], k: int, first: Centroid | None = None, seed: int = 0
 ) -> DataFrame:
-    return centroid_table(points, columns, farthest_first(points, columns, k, first, seed))
+    if first is None:
+        first = list(init_random(points, columns, 1, seed).first())
+    return centroid_table(points, columns, farthest_first(points, columns, k, first))
 
 
 def _pass(
@@ -143,7 +156,7 @@ def lloyd(
         for run, (means, sse) in _pass(points, columns, open_runs).items():
             k = len(open_runs[run])
             if len(means) < k:
-                drawn = init_random(points, columns, k, draws.randrange(1 << 30)).collect()
+                drawn = _draw(points, columns, k, draws.randrange(1 << 30)).collect()
                 if len(drawn) < k:
                     raise ValueError(f"fewer than {k} distinct points")
                 open_runs[run] = [list(row) for row in drawn]
@@ -175,7 +188,7 @@ def kmeans_elbow(
 ) -> DataFrame:
     """SSE for each number of clusters, from random starts."""
     weighted = stage(collapse(points, columns), "points")
-    drawn = [list(row) for row in init_random(weighted, columns, max(ks), seed).collect()]
+    drawn = [list(row) for row in _draw(weighted, columns, max(ks), seed).collect()]
     runs = lloyd(weighted, columns, {k: drawn[:k] for k in ks}, sse_tol, seed=seed)
     return points.sparkSession.createDataFrame([(k, runs[k][1]) for k in ks], "k int, sse double")
 
