@@ -50,7 +50,11 @@ def pair_stats(history: DataFrame, all_history: DataFrame | None = None) -> Data
 
 
 def user_stats(pairs: DataFrame) -> DataFrame:
-    """One row per user; null where there is nothing to average."""
+    """One row per user; null where there is nothing to average.
+
+    The last two columns, uses by receipt day and by purchase day, are for the
+    pair rates.
+    """
 
     def mean(total: str, n: str) -> Column:
         return ratio(F.sum(total), F.sum(n))
@@ -68,14 +72,12 @@ def user_stats(pairs: DataFrame) -> DataFrame:
         F.when(used_merchants > 0, ratio(used_merchants, merchants)).alias("u_h_rate_used_howmuch_merchant"),
         mean("gap_sum", "gap_n").alias("u_h_timedelta_rec_use"),
         mean("gap_days_sum", "gap_n").alias("u_h_timedelta_rec_use_days"),
+        F.sum("used").alias("_user_rec_used"),
+        F.sum("all_used").alias("_user_used"),
     )
 
 
-def user_usage(pairs: DataFrame) -> DataFrame:
-    """Uses by user, by receipt day and by purchase day, for the pair rates."""
-    return pairs.groupBy("User_id").agg(
-        F.sum("used").alias("_user_rec_used"), F.sum("all_used").alias("_user_used")
-    )
+USAGE = ("_user_rec_used", "_user_used")
 
 
 def user_fills(with_days: bool = False) -> dict[str, Column]:
@@ -100,7 +102,8 @@ def user_history_features(history: DataFrame, label: DataFrame, with_days: bool
     ``u_h_timedelta_rec_use`` subtracts the raw yyyyMMdd numbers; ``with_days``
     adds the same mean in days.
     """
-    out = left_join(label, user_stats(pair_stats(history)), "User_id").withColumns(user_fills(with_days))
+    stats = user_stats(pair_stats(history)).drop(*USAGE)
+    out = left_join(label, stats, "User_id").withColumns(user_fills(with_days))
     return out if with_days else out.drop("u_h_timedelta_rec_use_days")
 
 
@@ -166,5 +169,6 @@ def pair_fills() -> dict[str, Column]:
 def user_merchant_history_features(history: DataFrame, all_history: DataFrame, label: DataFrame) -> DataFrame:
     """Five ``um_h_`` columns. Purchases without a coupon have label 0 and add nothing."""
     pairs = pair_stats(history, all_history)
-    out = left_join(left_join(label, user_usage(pairs), "User_id"), pair_usage(pairs), ["User_id", "Merchant_id"])
-    return out.withColumns(pair_fills()).drop("_user_rec_used", "_user_used")
+    usage = user_stats(pairs).select("User_id", *USAGE)
+    out = left_join(left_join(label, usage, "User_id"), pair_usage(pairs), ["User_id", "Merchant_id"])
+    return out.withColumns(pair_fills()).drop(*USAGE)

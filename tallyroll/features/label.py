@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyroll.operators.aggregates import group_agg
+from tallyroll.operators.aggregates import group_agg, known
 from tallyroll.operators.relational import left_join
 
 _EARLIER = (W.unboundedPreceding, -1)
@@ -118,20 +118,21 @@ def user_columns() -> dict[str, Column]:
 def user_coupon_stats(df: DataFrame) -> DataFrame:
     """Receipts by (user, coupon) and by (user, coupon, day), a row for each day."""
     today = group_agg(
-        df, ["User_id", "Coupon_id", "received_day"], F.count("*").alias("u_l_today_this_coupon")
+        df, USER_COUPON_DAY, F.count("*").alias("u_l_today_this_coupon")
     )
     pair = W.partitionBy("User_id", "Coupon_id")
     return today.withColumn("u_l_this_coupon", F.sum("u_l_today_this_coupon").over(pair))
 
 
-def attach_user_coupon(df: DataFrame) -> DataFrame:
-    return left_join(df, user_coupon_stats(df), ["User_id", "Coupon_id", "received_day"])
+USER_COUPON_DAY = ["User_id", "Coupon_id", "received_day"]
+USER_COUPON_COLUMNS = ("u_l_this_coupon", "u_l_today_this_coupon")
 
 
 def user_label_features(df: DataFrame) -> DataFrame:
     """Twelve ``u_l_`` columns."""
     own = attach_stats(df, rank_stats(df, "User_id"), "User_id")
-    return attach_user_coupon(own.withColumns(user_columns()).drop(*STATS_COLUMNS))
+    out = own.withColumns(user_columns()).drop(*STATS_COLUMNS)
+    return left_join(out, user_coupon_stats(df), USER_COUPON_DAY)
 
 
 def merchant_kinds(df: DataFrame) -> DataFrame:
@@ -141,9 +142,9 @@ def merchant_kinds(df: DataFrame) -> DataFrame:
     numbers come from one chain of groupings and no distinct count.
     """
     first = F.min("received_day").over(W.partitionBy("Merchant_id", "Coupon_id"))
+    columns = ["Merchant_id", "Coupon_id", "received_day"]
     coupon_days = (
-        df.select("Merchant_id", "Coupon_id", "received_day")
-        .dropna().distinct()
+        known(df.select(*columns), columns).distinct()
         .withColumn("_new", (F.col("received_day") == first).cast("int"))
     )
     days = coupon_days.groupBy("Merchant_id", "received_day").agg(

@@ -27,8 +27,17 @@ def _part(c: Column, at: int) -> Column:
 
 
 def parse_day(c: str | Column, fmt: str = "yyyyMMdd") -> Column:
-    """Text day to date; bad text is missing."""
-    return F.try_to_date(_col(c).cast("string"), fmt)
+    """Text day to date; bad text is missing.
+
+    Days written yyyyMMdd are cast from their ISO form, which is several times
+    faster than a formatter.
+    """
+    text = _col(c).cast("string")
+    if fmt != "yyyyMMdd":
+        return F.try_to_date(text, fmt)
+    iso = F.concat(F.substr(text, F.lit(1), F.lit(4)), F.lit("-"), F.substr(text, F.lit(5), F.lit(2)),
+                   F.lit("-"), F.substr(text, F.lit(7)))
+    return F.when(F.char_length(text) == 8, iso.try_cast("date"))
 
 
 def is_manjian(c: str | Column) -> Column:

@@ -8,9 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def known(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows where no given column is null, as plain filters that reach the scan."""
+    for column in columns:
+        df = df.where(F.col(column).isNotNull())
+    return df
+
+
 def group_agg(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.dropna(subset=keys).groupBy(*keys).agg(*aggs)
+    return known(df, keys).groupBy(*keys).agg(*aggs)
 
 
 def group_sum(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
@@ -43,7 +50,7 @@ def group_count_distinct(df: DataFrame, keys: Sequence[str], value: str, out: st
 def group_count_distinct_2step(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """The same number by two groupings: pairs, then pairs by key."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    pairs = df.dropna(subset=[*keys, value]).groupBy(*keys, value).agg(F.count("*").alias("rows"))
+    pairs = known(df, [*keys, value]).groupBy(*keys, value).agg(F.count("*").alias("rows"))
     return pairs.groupBy(*keys).agg(F.count("*").alias(out))
 
 

@@ -14,6 +14,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyroll.operators.aggregates import known
 from tallyroll.runtime import stage
 
 Centroid = Sequence[float]
@@ -52,7 +53,7 @@ def kmeans_sse(assigned: DataFrame) -> DataFrame:
 
 def collapse(points: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct points with their number of copies."""
-    return points.dropna(subset=list(columns)).groupBy(*columns).agg(F.count("*").alias(WEIGHT))
+    return known(points, columns).groupBy(*columns).agg(F.count("*").alias(WEIGHT))
 
 
 def _draw(weighted: DataFrame, columns: Sequence[str], k: int, seed: int) -> DataFrame:

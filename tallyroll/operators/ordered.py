@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyroll.operators.aggregates import group_agg
+from tallyroll.operators.aggregates import group_agg, known
 from tallyroll.operators.relational import agg_join_back, left_join
 from tallyroll.runtime import stage
 
@@ -127,7 +127,7 @@ def next_value(df: DataFrame, key: str, value: str, row_id: str, out: str) -> Da
 
 
 def _distinct_days(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
-    return df.dropna(subset=[*keys, day]).select(*keys, day).distinct()
+    return known(df, [*keys, day]).select(*keys, day).distinct()
 
 
 def gap_next(df: DataFrame, key: str, day: str, out: str) -> DataFrame:

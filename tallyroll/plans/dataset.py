@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll.features import history as hist
@@ -42,6 +42,16 @@ def prepare(receipts: DataFrame) -> DataFrame:
     return add_label(preprocess(receipts))
 
 
+def _packed(df: DataFrame, name: str, columns: dict[str, Column], *spent: Sequence[str]) -> DataFrame:
+    """Put new columns into one struct and drop the ones they were made from.
+
+    Later joins then copy one field in place of a dozen, which keeps their
+    generated code small enough to be compiled to machine code.
+    """
+    pack = F.struct(*[c.alias(out) for out, c in columns.items()])
+    return df.withColumn(name, pack).drop(*[c for group in spent for c in group], *columns)
+
+
 def build_features(
     history: DataFrame, all_history: DataFrame, label: DataFrame, dump: Callable[[DataFrame], None] | None = None
 ) -> DataFrame:
@@ -55,10 +65,7 @@ def build_features(
     planned on the join key, which would keep a hot key in one task.
     """
     pairs = stage(hist.pair_stats(history, all_history), "pairs")
-    by_user = left_join(
-        lab.rank_stats(label, "User_id"),
-        left_join(hist.user_stats(pairs), hist.user_usage(pairs), "User_id"), "User_id",
-    )
+    by_user = left_join(lab.rank_stats(label, "User_id"), hist.user_stats(pairs), "User_id")
     by_coupon = left_join(
         lab.rank_stats(label, "Coupon_id"), hist.coupon_history_stats(history), "Coupon_id"
     )
@@ -67,16 +74,20 @@ def build_features(
         hist.merchant_history_stats(pairs, F.sum("n"), F.sum("used")), "Merchant_id",
     )
     out = lab.attach_stats(label, by_user, "User_id")
-    out = out.withColumns(lab.user_columns() | hist.user_fills()).drop(
-        *lab.STATS_COLUMNS, "u_h_timedelta_rec_use_days"
+    out = _packed(
+        out, "_user", lab.user_columns() | hist.user_fills(), lab.STATS_COLUMNS, ["u_h_timedelta_rec_use_days"]
     )
-    out = lab.attach_user_coupon(out)
+    out = left_join(out, lab.user_coupon_stats(label), lab.USER_COUPON_DAY)
     out = left_join(out, hist.pair_usage(pairs), ["User_id", "Merchant_id"])
-    out = out.withColumns(hist.pair_fills()).drop("_user_rec_used", "_user_used")
+    out = _packed(out, "_pair", hist.pair_fills(), hist.USAGE)
     out = lab.attach_stats(out, by_coupon, "Coupon_id")
-    out = out.withColumns(lab.coupon_columns() | hist.coupon_history_fills()).drop(*lab.STATS_COLUMNS)
+    out = _packed(out, "_coupon", lab.coupon_columns() | hist.coupon_history_fills(), lab.STATS_COLUMNS)
     out = lab.attach_stats(out, by_merchant, "Merchant_id")
-    out = out.withColumns(lab.merchant_columns() | hist.merchant_history_fills()).drop(*lab.MERCHANT_STATS_COLUMNS)
+    out = _packed(
+        out, "_merchant", lab.merchant_columns() | hist.merchant_history_fills(), lab.MERCHANT_STATS_COLUMNS
+    )
+    packs = [f"{pack}.*" for pack in ("_user", "_pair", "_coupon", "_merchant")]
+    out = out.select(*label.columns, *lab.USER_COUPON_COLUMNS, *packs)
     if dump is not None:
         out = stage(out, "features")
         dump(out)

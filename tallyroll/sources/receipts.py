@@ -19,7 +19,8 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _day_text(first: str, offset: Column) -> Column:
-    return F.date_format(F.date_add(F.lit(first).cast("date"), offset.cast("int")), "yyyyMMdd")
+    day = F.date_add(F.lit(first).cast("date"), offset.cast("int"))
+    return (F.year(day) * 10000 + F.month(day) * 100 + F.day(day)).cast("string")
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
