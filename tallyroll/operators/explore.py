@@ -90,23 +90,38 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
 
 def histogram_density(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     """Histogram whose bars have total area 1."""
-    low, high = _bounds(df, column)
-    total = df.agg(F.count(column)).scalar()
-    return histogram(df, column, bins).select(
-        "bin", "bin_low", (F.col("n") / (total * (high - low) / bins)).alias("density")
-    )
+    one = histogram_density_by(df.select(F.lit(0).alias("all"), column), column, "all", {0: bins})
+    return one.drop("all")
 
 
 def histogram_density_by(df: DataFrame, column: str, by: str, bins: dict) -> DataFrame:
-    """Density histogram of each group, with its own range and number of bins."""
-    parts = [
-        histogram_density(df.where(F.col(by) == value), column, n).select(F.lit(value).alias(by), "*")
-        for value, n in bins.items()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """Density histogram of each group, with its own range and number of bins.
+
+    Two passes: ranges and sizes of the groups, then the bins. There are only as
+    many groups as the caller names, so their ranges are broadcast.
+    """
+    rows = df.where(F.col(column).isNotNull() & F.col(by).isin(list(bins))).select(
+        by, F.col(column).cast("double").alias(column)
+    )
+    count = F.coalesce(*[F.when(F.col(by) == group, F.lit(n)) for group, n in bins.items()])
+    low, high = F.min(column), F.max(column)
+    pad = F.when(low == high, 0.5).otherwise(0.0)
+    groups = rows.groupBy(by).agg(
+        (low - pad).alias("low"), (high + pad).alias("high"), F.count("*").alias("total")
+    ).withColumn("bins", count)
+    at = F.least(
+        F.floor((F.col(column) - F.col("low")) / (F.col("high") - F.col("low")) * F.col("bins")), F.col("bins") - 1
+    ).cast("int")
+    width = (F.col("high") - F.col("low")) / F.col("bins")
+    return (
+        rows.join(F.broadcast(groups), by)
+        .groupBy(by, "low", "high", "total", "bins", at.alias("bin"))
+        .agg(F.count("*").alias("n"))
+        .select(
+            by, "bin", (F.col("low") + F.col("bin") * width).alias("bin_low"),
+            (F.col("n") / (F.col("total") * (F.col("high") - F.col("low")) / F.col("bins"))).alias("density"),
+        )
+    )
 
 
 def box_stats(df: DataFrame, value: str, keys: Sequence[str] = (), wide: bool = True) -> DataFrame:

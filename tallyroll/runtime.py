@@ -22,20 +22,19 @@ def local_session(app: str = "tallyroll", cores: str = "*", shuffle_partitions:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or set on the context.
 
-    Only a local session may go without the setting: its driver and tasks share
-    one disk. On a cluster a folder of one machine would lose data, so ask for it.
+    Only a local session may go without either: its driver and tasks share one
+    disk. On a cluster a folder of one machine would lose data, so ask for it.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tallyroll-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyroll-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
