@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyroll.catalog.base import Query, label_frame, prepared, r8, sql, sql_avg_rank
 from tallyroll.operators import explore as ex
 from tallyroll.operators.ordered import avg_rank
+from tallyroll.operators.ordered import box_stats as box_stats_of
 from tallyroll.sources import load_table
 
 
@@ -37,12 +38,12 @@ FROM (
 
 def box_stats(spark, sf_dir):
     items = load_table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice")
-    out = ex.box_stats(items, "l_extendedprice", ["l_returnflag"])
+    out = box_stats_of(items, "l_extendedprice", ["l_returnflag"])
     return out.select("l_returnflag", *[r8(c) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")], "outliers")
 
 
 def box_stats_whole(spark, sf_dir):
-    out = ex.box_stats(load_table(spark, sf_dir, "customer").select("c_acctbal"), "c_acctbal")
+    out = box_stats_of(load_table(spark, sf_dir, "customer").select("c_acctbal"), "c_acctbal")
     return out.select(*[r8(c) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")], "outliers")
 
 

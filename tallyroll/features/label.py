@@ -157,7 +157,7 @@ def merchant_kinds(df: DataFrame) -> DataFrame:
 
 
 def merchant_stats(df: DataFrame) -> DataFrame:
-    return left_join(rank_stats(df, "Merchant_id"), merchant_kinds(df), "Merchant_id")
+    return rank_stats(df, "Merchant_id").join(merchant_kinds(df), "Merchant_id", "left")
 
 
 MERCHANT_STATS_COLUMNS = (*STATS_COLUMNS, "_kinds", "_kinds_by_day")

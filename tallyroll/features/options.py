@@ -31,7 +31,7 @@ def _user_spread(df: DataFrame, rows: DataFrame, value: str, name: str) -> DataF
         F.avg(value).alias(names["average"]), F.max(value).alias(names["max"]), F.min(value).alias(names["min"]),
     )
     median = group_median(rows, ["User_id"], value, names["median"])
-    out = left_join(df, left_join(stats, median, "User_id"), "User_id")
+    out = left_join(df, stats.join(median, "User_id", "left"), "User_id")
     return out.withColumns({c: fill_sentinel(F.col(c).cast("double"), -1.0) for c in names.values()})
 
 

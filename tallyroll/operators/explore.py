@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tallyroll.operators.aggregates import group_agg, group_count, value_shares
 from tallyroll.operators.filters import filter_has_distance, filter_used
-from tallyroll.operators.ordered import group_quantiles
 
 
 def received_per_day(df: DataFrame) -> DataFrame:
@@ -124,25 +123,6 @@ def histogram_density_by(df: DataFrame, column: str, by: str, bins: dict) -> Dat
     )
 
 
-def box_stats(df: DataFrame, value: str, keys: Sequence[str] = (), wide: bool = True) -> DataFrame:
-    """Quartiles, whiskers inside 1.5 quartile ranges, and the number of outliers."""
-    keys = list(keys)
-    quartiles = group_quantiles(df, keys, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, wide)
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
-    x = F.col(value)
-    if keys:
-        rows = df.join(quartiles, keys)
-    else:
-        one = quartiles.select(F.struct("*")).scalar()
-        rows = df.select(value, one.alias("q")).select(value, "q.*")
-    inside = x.between(F.col("q1") - reach, F.col("q3") + reach)
-    return rows.where(x.isNotNull()).groupBy(*keys, "q1", "median", "q3").agg(
-        F.min(F.when(inside, x)).alias("whisker_low"),
-        F.max(F.when(inside, x)).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"),
-    )
-
-
 def stacked_bar_data(df: DataFrame, row: str, columns: Sequence[str]) -> DataFrame:
     """(row, series, value) for every numeric column."""
     doubles = df.select(row, *[F.col(c).cast("double").alias(c) for c in columns])

@@ -38,6 +38,7 @@ def running_counts(
 ) -> DataFrame:
     """One row per (keys, value): ``n`` rows, ``before`` rows of the key with a
     smaller value, ``total`` rows of the key. Null keys and values are left out.
+    The wide form also has ``_part``, the number of the row's range.
     """
     keys = list(keys)
     counts = group_agg(df, [*keys, value], F.count("*").alias("n"), *extra)
@@ -72,7 +73,7 @@ def running_counts(
             "before": F.col("before") + F.coalesce("_offset", F.lit(0)),
             "total": F.coalesce("_total", "total"),
         })
-        .drop(_PART, "_offset", "_total")
+        .drop("_offset", "_total")
     )
 
 
@@ -159,11 +160,8 @@ def rows_before(df: DataFrame, keys: Sequence[str], day: str, out: str) -> DataF
     return left_join(df, counts, [*keys, day])
 
 
-def group_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float], wide: bool = False
-) -> DataFrame:
-    """Exact quantiles by key, interpolated between neighbours; one column each."""
-    counts = running_counts(df, keys, value, wide=wide)
+def quantiles_of(counts: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float]) -> DataFrame:
+    """Exact quantiles by key from ``running_counts``, interpolated between neighbours."""
 
     def at(index: Column) -> Column:
         return F.max(F.when((F.col("before") <= index) & (index < F.col("before") + F.col("n")), F.col(value)))
@@ -177,11 +175,43 @@ def group_quantiles(
     return counts.groupBy(*keys).agg(*aggs)
 
 
+def group_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float], wide: bool = False
+) -> DataFrame:
+    """Exact quantiles by key, one column each."""
+    return quantiles_of(running_counts(df, keys, value, wide=wide), keys, value, quantiles)
+
+
 def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str, wide: bool = False) -> DataFrame:
     """Exact median by key."""
     return group_quantiles(df, keys, value, {out: 0.5}, wide)
 
 
+def box_stats(df: DataFrame, value: str, keys: Sequence[str] = (), wide: bool = True) -> DataFrame:
+    """Quartiles by key, whiskers inside 1.5 quartile ranges, and the number of outliers.
+
+    Distinct values, not rows, are held against the quartiles. In the wide form
+    the quartiles go to each (key, range), so a key with all rows stays spread.
+    """
+    keys = list(keys)
+    counts = running_counts(df, keys, value, wide=wide)
+    box = quantiles_of(counts, keys, value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    slots = [*keys, _PART] if wide else keys
+    if not keys:
+        # One row; as a scalar subquery it needs no join.
+        rows = counts.withColumn("_box", box.select(F.struct("*")).scalar()).select("*", "_box.*")
+    else:
+        rows = left_join(counts, counts.select(*slots).distinct().join(box, keys), slots)
+    x = F.col(value)
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    inside = x.between(F.col("q1") - reach, F.col("q3") + reach)
+    return rows.groupBy(*keys, "q1", "median", "q3").agg(
+        F.min(F.when(inside, x)).alias("whisker_low"),
+        F.max(F.when(inside, x)).alias("whisker_high"),
+        F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
+    )
+
+
 def exact_auc(df: DataFrame, score: str, label: str, out: str = "auc") -> DataFrame:
     """Area under the ROC curve of one score, from average ranks; one row."""
     hits = F.sum(F.col(label).cast("long")).alias("hits")

@@ -1,9 +1,8 @@
 """Projection, joins, sorting and set operations.
 
-Joins carry no hint. The aggregated side has one row per key, so the planner
-broadcasts it when its measured size allows and otherwise sorts and merges; a hot
-key of the wide side is then split at run time (adaptive skew join), which holds
-because each join here sits directly on its own shuffle.
+Joins carry no hint: the planner broadcasts a side when its measured size allows
+and otherwise sorts and merges. ``left_join`` is made for a wide side
+that may have hot keys.
 """
 
 from __future__ import annotations
@@ -44,12 +43,28 @@ def fill_all_zero(df: DataFrame) -> DataFrame:
     return df.fillna(0)
 
 
-def left_join(df: DataFrame, other: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    return df.join(other, keys, "left")
+def _join_on_own_shuffles(df: DataFrame, other: DataFrame, keys: str | Sequence[str], how: str) -> DataFrame:
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    own = F.pmod(F.hash(*keys), F.lit(1))
+    return df.withColumn("_own", own).join(other.withColumn("_own", own), [*keys, "_own"], how).drop("_own")
 
 
-def right_join(df: DataFrame, other: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    return df.join(other, keys, "right")
+def left_join(df: DataFrame, stats: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """Left join with a table of one row per key, safe when a key holds much of ``df``.
+
+    Adaptive execution splits a hot key among tasks only if both sides of the
+    join are read straight from their own shuffles. A side that was grouped by
+    the same keys is not shuffled again, and two joins on the same keys share
+    one shuffle, so neither would be split. The extra key column, always 0, is
+    not part of any earlier partitioning: it gives each join its own shuffles.
+    For the grouped side that is one more pass over a row per key.
+    """
+    return _join_on_own_shuffles(df, stats, keys, "left")
+
+
+def right_join(stats: DataFrame, df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """The same with the wide side, whose rows are all kept, on the right."""
+    return _join_on_own_shuffles(stats, df, keys, "right")
 
 
 def agg_join_back(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
@@ -58,7 +73,7 @@ def agg_join_back(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFram
     Unlike a window this sums before the shuffle, so a hot key costs one row
     from each task. Rows with a null key get null.
     """
-    return left_join(df, group_agg(df, keys, *aggs), list(keys))
+    return left_join(df, group_agg(df, keys, *aggs), keys)
 
 
 def count_over(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:

@@ -65,13 +65,10 @@ def build_features(
     planned on the join key, which would keep a hot key in one task.
     """
     pairs = stage(hist.pair_stats(history, all_history), "pairs")
-    by_user = left_join(lab.rank_stats(label, "User_id"), hist.user_stats(pairs), "User_id")
-    by_coupon = left_join(
-        lab.rank_stats(label, "Coupon_id"), hist.coupon_history_stats(history), "Coupon_id"
-    )
-    by_merchant = left_join(
-        lab.merchant_stats(label),
-        hist.merchant_history_stats(pairs, F.sum("n"), F.sum("used")), "Merchant_id",
+    by_user = lab.rank_stats(label, "User_id").join(hist.user_stats(pairs), "User_id", "left")
+    by_coupon = lab.rank_stats(label, "Coupon_id").join(hist.coupon_history_stats(history), "Coupon_id", "left")
+    by_merchant = lab.merchant_stats(label).join(
+        hist.merchant_history_stats(pairs, F.sum("n"), F.sum("used")), "Merchant_id", "left"
     )
     out = lab.attach_stats(label, by_user, "User_id")
     out = _packed(

@@ -6,7 +6,6 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tallyroll.operators import explore as ex
 from tallyroll.operators import ordered as od
 
 
@@ -115,7 +114,7 @@ def test_quantiles_and_box(hot, hot_rows):
     values = hot["value"].dropna()
     q = od.group_quantiles(hot_rows, [], "value", {"a": 0.1, "b": 0.25, "c": 1.0}, wide=True).first()
     assert list(q) == pytest.approx(list(values.quantile([0.1, 0.25, 1.0])))
-    box = ex.box_stats(hot_rows, "value").first()
+    box = od.box_stats(hot_rows, "value").first()
     q1, q3 = values.quantile(0.25), values.quantile(0.75)
     inside = values.between(q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
     assert (box["whisker_low"], box["whisker_high"]) == (values[inside].min(), values[inside].max())
