@@ -19,6 +19,7 @@ from tallyroll.operators.aggregates import group_agg, known
 from tallyroll.operators.relational import left_join
 
 _EARLIER = (W.unboundedPreceding, -1)
+_WHOLE = (W.unboundedPreceding, W.unboundedFollowing)
 
 
 def _ranks(df: DataFrame, key: str) -> DataFrame:
@@ -35,12 +36,15 @@ def _ranks(df: DataFrame, key: str) -> DataFrame:
         .groupBy(key, "attr", "value").agg(F.count("*").alias("n"))
         .repartition(key)
     )
-    attribute = W.partitionBy(key, "attr")
-    before = F.sum("n").over(attribute.orderBy(F.asc_nulls_last("value")).rowsBetween(*_EARLIER))
-    known = F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).over(attribute)
+    # One order for both frames, so that one window pass serves them.
+    attribute = W.partitionBy(key, "attr").orderBy(F.asc_nulls_last("value"))
+    before = F.sum("n").over(attribute.rowsBetween(*_EARLIER))
+    known = F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).over(attribute.rowsBetween(*_WHOLE))
     ascending = F.coalesce(before, F.lit(0)) + (F.col("n") + 1) / 2
-    return counts.withColumn("up", F.when(F.col("value").isNotNull(), ascending)).withColumn(
-        "down", known + 1 - F.col("up")
+    return counts.withColumns({"_up": ascending, "_known": known}).select(
+        key, "attr", "value", "n",
+        F.when(F.col("value").isNotNull(), F.col("_up")).alias("up"),
+        F.when(F.col("value").isNotNull(), F.col("_known") + 1 - F.col("_up")).alias("down"),
     )
 
 

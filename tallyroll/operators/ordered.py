@@ -21,6 +21,7 @@ from tallyroll.runtime import stage
 
 _PART = "_part"
 _EARLIER = (W.unboundedPreceding, -1)
+_WHOLE = (W.unboundedPreceding, W.unboundedFollowing)
 
 
 def range_parts(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -42,18 +43,18 @@ def running_counts(
     """
     keys = list(keys)
     counts = group_agg(df, [*keys, value], F.count("*").alias("n"), *extra)
-    if not wide:
-        of_key = W.partitionBy(*keys)
-        return counts.withColumns({
-            "before": F.coalesce(F.sum("n").over(of_key.orderBy(value).rowsBetween(*_EARLIER)), F.lit(0)),
-            "total": F.sum("n").over(of_key),
+
+    def summed(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+        ordered = W.partitionBy(*group).orderBy(value)
+        return rows.withColumns({
+            "before": F.coalesce(F.sum("n").over(ordered.rowsBetween(*_EARLIER)), F.lit(0)),
+            "total": F.sum("n").over(ordered.rowsBetween(*_WHOLE)),
         })
+
+    if not wide:
+        return summed(counts, keys)
     counts = range_parts(counts, [*keys, value])
-    of_part = W.partitionBy(_PART, *keys)
-    local = counts.withColumns({
-        "before": F.coalesce(F.sum("n").over(of_part.orderBy(value).rowsBetween(*_EARLIER)), F.lit(0)),
-        "total": F.sum("n").over(of_part),
-    })
+    local = summed(counts, [_PART, *keys])
     across = W.partitionBy(*keys)
     # A border between two ranges is crossed by one key at most, so the keys kept
     # here are fewer than the ranges: small enough to broadcast at any data size.

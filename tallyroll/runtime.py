@@ -17,6 +17,8 @@ def local_session(app: str = "tallyroll", cores: str = "*", shuffle_partitions:
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        # Fused code for wide rows is slow to compile and to run; leave it to narrow steps.
+        .config("spark.sql.codegen.maxFields", "30")
         .getOrCreate()
     )
 
