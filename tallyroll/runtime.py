@@ -19,6 +19,8 @@ def local_session(app: str = "tallyroll", cores: str = "*", shuffle_partitions:
         .config("spark.driver.memory", "12g")
         # Fused code for wide rows is slow to compile and to run; leave it to narrow steps.
         .config("spark.sql.codegen.maxFields", "30")
+        # Keep the compiled code of many different queries.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .getOrCreate()
     )
 

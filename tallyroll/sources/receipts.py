@@ -38,40 +38,58 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _common_columns() -> list[Column]:
+def _id_columns() -> list[Column]:
+    return [
+        F.col("o_custkey").alias("User_id"),
+        F.col("l_suppkey").alias("Merchant_id"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_partkey")).alias("Coupon_id"),
+        F.when(F.col("distance_code") < 11, F.col("distance_code")).alias("Distance"),
+    ]
+
+
+def _discount_text() -> Column:
     part = F.col("l_partkey")
-    with_coupon = F.col("l_returnflag") != "R"
     threshold = F.concat(
         (10 * (1 + part % 20)).cast("string"), F.lit(":"), (1 + part % 10).cast("string")
     )
     rate = F.when(F.col("percent") == 100, "1").otherwise(
         F.concat(F.lit("0."), F.lpad(F.col("percent").cast("string"), 2, "0"))
     )
-    return [
-        F.col("o_custkey").alias("User_id"),
-        F.col("l_suppkey").alias("Merchant_id"),
-        F.when(with_coupon, part).alias("Coupon_id"),
-        F.when(with_coupon, F.when(F.col("l_linestatus") == "F", threshold).otherwise(rate)).alias("Discount_rate"),
-        F.when(F.col("distance_code") < 11, F.col("distance_code")).alias("Distance"),
-    ]
+    return F.when(F.col("l_returnflag") != "R", F.when(F.col("l_linestatus") == "F", threshold).otherwise(rate))
+
+
+def _with_texts(rows: DataFrame, **texts: Column) -> DataFrame:
+    """Add text columns that later expressions read as if they came from a file.
+
+    Made by a generator of one row, they are computed once. As plain columns
+    they would be written out again at each place that a filter or a parser
+    uses them.
+    """
+    return rows.select(
+        *_id_columns(), F.inline(F.array(F.struct(*[c.alias(name) for name, c in texts.items()])))
+    )
+
+
+_ORDER = ["User_id", "Merchant_id", "Coupon_id", "Discount_rate", "Distance", "Date_received"]
 
 
 def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training file: one row per receipt or purchase, with the purchase day."""
     offset, flag = F.col("day_offset"), F.col("l_returnflag")
-    used = offset + F.col("l_quantity").cast("int") % 25
-    return _joined(spark, sf_dir).select(
-        *_common_columns(),
-        F.when(flag != "R", _day_text(FIRST_DAY, offset)).alias("Date_received"),
-        F.when(flag == "R", _day_text(FIRST_DAY, offset))
-        .when(flag == "A", _day_text(FIRST_DAY, used)).alias("Date"),
-    )
+    used = F.when(flag == "R", offset).when(flag == "A", offset + F.col("l_quantity").cast("int") % 25)
+    return _with_texts(
+        _joined(spark, sf_dir),
+        Discount_rate=_discount_text(),
+        Date_received=F.when(flag != "R", _day_text(FIRST_DAY, offset)),
+        Date=_day_text(FIRST_DAY, used),
+    ).select(*_ORDER, "Date")
 
 
 def receipts_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The test file: receipts of the month after, without the purchase day."""
-    return (
-        _joined(spark, sf_dir)
-        .where((F.col("l_returnflag") != "R") & (F.col("o_orderkey") % 10 == 0))
-        .select(*_common_columns(), _day_text(TEST_FIRST_DAY, F.col("day_offset") % 31).alias("Date_received"))
-    )
+    rows = _joined(spark, sf_dir).where((F.col("l_returnflag") != "R") & (F.col("o_orderkey") % 10 == 0))
+    return _with_texts(
+        rows,
+        Discount_rate=_discount_text(),
+        Date_received=_day_text(TEST_FIRST_DAY, F.col("day_offset") % 31),
+    ).select(*_ORDER)
