@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyroll.llm.packing import op10_pack_sequences
+from tallyroll.llm.token_files import op7_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
+        op7_token_files,
         op10_pack_sequences,
     )
 }

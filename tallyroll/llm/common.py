@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Characters of text that a Python task works on at a time, so its memory does not follow the Arrow batch.
 BLOCK_CHARS = 2_000_000
@@ -25,23 +28,43 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+#: Whole numbers may be null and are not turned into doubles, which would round them.
+_WHOLE = {pa.int64(): pd.Int64Dtype()}.get
+
+
+def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
     """The same rows in frames of about BLOCK_CHARS characters of text; a longer text is alone."""
-    for frame in frames:
-        if frame.empty:
-            continue
-        mark = frame["text"].str.len().to_numpy().cumsum() // BLOCK_CHARS
-        for _, part in frame.groupby(mark, sort=False):
-            yield part
+    for batch in batches:
+        if batch.num_rows:
+            frame = batch.to_pandas(types_mapper=_WHOLE)
+            mark = frame["text"].str.len().to_numpy().cumsum() // BLOCK_CHARS
+            for _, part in frame.groupby(mark, sort=False):
+                yield part
 
 
-def longs(frame: pd.DataFrame, column: str) -> list[int | None]:
-    """Whole numbers that may be null, without a way through doubles that would round them."""
-    return [None if pd.isna(x) else int(x) for x in frame[column].tolist()]
+def map_texts(docs: DataFrame, function: Callable[[Iterator[pd.DataFrame]], Iterable[pd.DataFrame]], schema: str) -> DataFrame:
+    """``docs.mapInArrow`` by a function on frames of bounded size; whole numbers may be null."""
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in function(blocks(batches)):
+            yield pa.RecordBatch.from_pandas(frame, schema=arrow, preserve_index=False)
+
+    return docs.mapInArrow(run, schema)
 
 
-def any_word(words: Column, at_least: int) -> Column:
-    return F.size(words) >= at_least
+def map_groups(grouped: GroupedData, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """``grouped.applyInArrow`` by a function on frames; whole numbers may be null."""
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(group: pa.Table) -> pa.Table:
+        return pa.Table.from_pandas(function(group.to_pandas(types_mapper=_WHOLE)), schema=arrow, preserve_index=False)
+
+    return grouped.applyInArrow(run, schema)
+
+
+def longs(frame: pd.DataFrame, column: str) -> list[int | None]:
+    return [None if x is pd.NA else x for x in frame[column].tolist()]
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

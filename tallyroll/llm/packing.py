@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroll.llm.common import blocks, longs, table, texts
+from tallyroll.llm.common import longs, map_groups, map_texts, table, texts
 from tallyroll.llm.tokens import public_path, word_encoder
 
 SEQUENCE = 2048
@@ -60,7 +60,7 @@ def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int = E
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = word_encoder(path)
-        for part in blocks(frames):
+        for part in frames:
             ids, at = encoder.encode(part["text"].tolist())
             keys, draws = longs(part, "doc_id"), part["draw"].tolist()
             rows = []
@@ -70,10 +70,10 @@ def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int = E
                     piece = own[start:start + sequence]
                     row = (key, draws[i], start, len(piece), zlib.crc32(piece.tobytes()), len(own))
                     rows.append((*row, piece.astype(np.int32)) if with_ids else row)
-            yield pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
 
     drawn = texts(docs).withColumn("draw", F.xxhash64("doc_id", "text"))
-    return drawn.mapInPandas(cut, schema)
+    return map_texts(drawn, cut, schema)
 
 
 def pack(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int = END_ID, group_docs: int = GROUP_DOCS, with_ids: bool = False) -> DataFrame:
@@ -96,10 +96,10 @@ def pack(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int = END
         bins, offsets = first_fit_decreasing(frame["length"].to_numpy(), sequence)
         frame["sequence_id"] = frame["pack_group"] * 2**32 + bins
         frame["offset"] = offsets
-        return frame.astype({"doc_id": "Int64"})
+        return frame
 
     fields = cut.schema.simpleString()[len("struct<"):-1]
-    packed = cut.groupBy("pack_group").applyInPandas(fill, f"{fields},sequence_id:bigint,offset:bigint")
+    packed = map_groups(cut.groupBy("pack_group"), fill, f"{fields},sequence_id:bigint,offset:bigint")
     return packed.drop("draw", "pack_group")
 
 
