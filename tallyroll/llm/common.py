@@ -13,16 +13,24 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 #: Characters of text that a Python task works on at a time, so its memory does not follow the Arrow batch.
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 1_000_000
 
-#: White space between words, as a class for Spark's regular expressions.
-SPACE = r"[ \t-\r]+"
+#: White space between words.
+SPACES = " \t\n\x0b\x0c\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(docs: DataFrame, wish: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """doc_id and text alone (null text: empty), so extra columns of any name do not matter."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))

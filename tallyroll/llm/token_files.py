@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyroll.llm.common import longs, map_texts, table, texts
+from tallyroll.llm.hashing import mixed
 from tallyroll.llm.tokens import public_path, word_encoder
 from tallyroll.runtime import new_path
 
@@ -35,14 +36,6 @@ _SHARD = (
 _NULL_KEY = np.uint64(0x9AE16A3B2F90404F)
 
 
-def mixed(values: np.ndarray, seed: int) -> np.ndarray:
-    """A 64-bit hash of each value."""
-    x = values.astype(np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % 2**64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def document_keys(doc_ids: list[int | None], copies: list[int]) -> np.ndarray:
     """One number for each (doc_id, copy); a null doc_id has a number of its own."""
     plain = np.array([0 if x is None else x for x in doc_ids], np.int64).view(np.uint64)

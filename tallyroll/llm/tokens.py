@@ -9,7 +9,6 @@ token, goes through the library whole.
 
 from __future__ import annotations
 
-import json
 import os
 import threading
 from array import array
@@ -21,7 +20,7 @@ import pyarrow as pa
 from tallyroll.llm.common import ranges
 
 #: Words whose ids a task keeps; when there are more it starts over.
-MAX_WORDS = 500_000
+MAX_WORDS = 250_000
 
 _SPACE, _LETTER, _DIGIT, _OTHER = range(4)
 
@@ -66,8 +65,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size()
-        with open(path) as file:
-            self.special = [x["content"] for x in json.load(file)["added_tokens"]]
+        self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.max_words = max_words
         self._clear()
 
