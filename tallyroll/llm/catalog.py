@@ -11,6 +11,7 @@ from tallyroll.llm.near_dups import op9_near_duplicates
 from tallyroll.llm.packing import op10_pack_sequences
 from tallyroll.llm.quality_model import op2_quality_classifier
 from tallyroll.llm.quality_rules import op8_quality_rules
+from tallyroll.llm.repeats import op6_suffix_array_dedup
 from tallyroll.llm.secrets import op5_secret_scan
 from tallyroll.llm.token_files import op7_token_files
 
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_benchmark_decontamination,
         op2_quality_classifier,
         op5_secret_scan,
+        op6_suffix_array_dedup,
         op7_token_files,
         op8_quality_rules,
         op9_near_duplicates,
