@@ -13,6 +13,7 @@ from tallyroll.llm.quality_model import op2_quality_classifier
 from tallyroll.llm.quality_rules import op8_quality_rules
 from tallyroll.llm.repeats import op6_suffix_array_dedup
 from tallyroll.llm.secrets import op5_secret_scan
+from tallyroll.llm.token_counts import op3_token_counts
 from tallyroll.llm.token_files import op7_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         op1_benchmark_decontamination,
         op2_quality_classifier,
+        op3_token_counts,
         op5_secret_scan,
         op6_suffix_array_dedup,
         op7_token_files,
