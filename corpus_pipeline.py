@@ -5,20 +5,48 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyroll.llm import decontaminate, near_dups, packing, quality_rules, secrets
 from tallyroll.llm.common import table
-from tallyroll.llm.packing import pack
 from tallyroll.llm.tokens import public_path
 from tallyroll.runtime import new_path
 
 
-def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality rules keep."""
+    return quality_rules.keep_good(docs)
+
+
+def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    return near_dups.keep_one(docs)
+
+
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no benchmark item."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with their secrets cut out of the text; ``n_chars`` is counted again."""
+    clean = secrets.redact(docs, secrets.train(docs))
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.char_length("text").cast(docs.schema["n_chars"].dataType)))
+    return clean
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents left, in their sequences."""
-    return pack(docs, public_path("word_bpe_49k.json"))
+    return packing.pack(docs, public_path("word_bpe_49k.json"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("packing", pack_stage),
+    ("quality rules", quality_stage),
+    ("MinHash near-dedup", near_dup_stage),
+    ("benchmark decontamination", decontaminate_stage),
+    ("secret scans", secrets_stage),
+    ("packing", packing_stage),
 ]
 
 #: SQL cannot express the stages; the tests hold them against brute force.

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyroll.llm.decontaminate import op1_benchmark_decontamination
+from tallyroll.llm.licenses import op4_license_scan
 from tallyroll.llm.near_dups import op9_near_duplicates
 from tallyroll.llm.packing import op10_pack_sequences
 from tallyroll.llm.quality_model import op2_quality_classifier
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_benchmark_decontamination,
         op2_quality_classifier,
         op3_token_counts,
+        op4_license_scan,
         op5_secret_scan,
         op6_suffix_array_dedup,
         op7_token_files,
