@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, GroupedData, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -50,6 +51,22 @@ def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
                 yield part
 
 
+_shared: set[str] = set()
+
+
+def share_code(df: DataFrame) -> DataFrame:
+    """``df``, after seeing to it that the Python workers of a local session can import this package.
+
+    They start in the folder the program was started in, wherever the package lies. On
+    a cluster the package is installed, or given by ``--py-files``, like any other.
+    """
+    context = df.sparkSession.sparkContext
+    if context.master.startswith("local[") and context.applicationId not in _shared:
+        _shared.add(context.applicationId)
+        context.addFile(str(Path(__file__).parents[1]), recursive=True)
+    return df
+
+
 def map_texts(docs: DataFrame, function: Callable[[Iterator[pd.DataFrame]], Iterable[pd.DataFrame]], schema: str) -> DataFrame:
     """``docs.mapInArrow`` by a function on frames of bounded size; whole numbers may be null."""
     arrow = to_arrow_schema(StructType.fromDDL(schema))
@@ -58,17 +75,17 @@ def map_texts(docs: DataFrame, function: Callable[[Iterator[pd.DataFrame]], Iter
         for frame in function(blocks(batches)):
             yield pa.RecordBatch.from_pandas(frame, schema=arrow, preserve_index=False)
 
-    return docs.mapInArrow(run, schema)
+    return share_code(docs).mapInArrow(run, schema)
 
 
-def map_groups(grouped: GroupedData, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """``grouped.applyInArrow`` by a function on frames; whole numbers may be null."""
+def map_groups(docs: DataFrame, key: str | Column, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """``docs.groupBy(key).applyInArrow`` by a function on frames; whole numbers may be null."""
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(group: pa.Table) -> pa.Table:
         return pa.Table.from_pandas(function(group.to_pandas(types_mapper=_WHOLE)), schema=arrow, preserve_index=False)
 
-    return grouped.applyInArrow(run, schema)
+    return share_code(docs).groupBy(key).applyInArrow(run, schema)
 
 
 def longs(frame: pd.DataFrame, column: str) -> list[int | None]:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyroll.llm.common import free_name, longs, map_texts, table, texts
+from tallyroll.llm.common import free_name, longs, map_texts, share_code, table, texts
 from tallyroll.llm.hashing import mixed, shingles, word_hashes
 from tallyroll.runtime import stage
 
@@ -35,8 +35,8 @@ BUCKET_BITS = 18
 #: Weight of a shingle that all documents have, against one of the rarest. Kept near 1, as the copies in
 #: a large group make what they share frequent and would otherwise drift apart by the size of their group.
 LEAST_WEIGHT = 0.85
-#: Further leaders of a bucket in the second round; twice as many in each round after it.
-LEADERS = 8
+#: Leaders of a bucket in the second round; eight times as many in each round after it.
+LEADERS = 32
 
 _DRAWS = 1 << 14
 
@@ -178,7 +178,7 @@ def _similarities(pairs: DataFrame, weights: np.ndarray) -> DataFrame:
                 out.append(common / union if union else 1.0)
             yield pa.RecordBatch.from_arrays([columns[0].cast(pa.binary()), columns[1].cast(pa.binary()), pa.array(out, pa.float64())], schema=schema)
 
-    return pairs.mapInArrow(compare, "a binary, b binary, similarity double")
+    return share_code(pairs).mapInArrow(compare, "a binary, b binary, similarity double")
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -197,6 +197,19 @@ def connected(links: DataFrame) -> DataFrame:
             return labels.drop("old")
 
 
+def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Labels after further links: classes, not nodes, are connected."""
+    if labels is None:
+        return connected(links)
+    ends = links
+    for x in ("a", "b"):
+        known = labels.select(F.col("node").alias(x), F.col("label").alias("known"))
+        ends = ends.join(known, x, "left").withColumn(f"label_{x}", F.coalesce("known", x)).drop("known")
+    new = connected(ends.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).where("a <> b").distinct())
+    moved = labels.join(new.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return stage(moved.union(new.join(labels.select("node"), "node", "left_anti").select("node", "label")), "near-labels")
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, text_hash, class_id and copies of every row of ``docs``.
 
@@ -219,33 +232,33 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     read = rows.withColumn("text_hash", F.xxhash64("text")).join(needed, same).select("node", "text").dropDuplicates(["node"])
     bodies = stage(read, "near-texts")
 
-    labels, links, tested, count = None, None, None, 1
+    labels, tested, count = None, None, 1
     while True:
         here = members.withColumn("label", F.col("node")) if labels is None else members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         # A bucket within one class has nothing left to find.
-        parted = here.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
-        open_ = stage(here.join(parted, "bucket", "left_semi"), "near-open")
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("fame"), "node"))
-        most = count if count == 1 else count + 1
-        leaders = open_.withColumn("place", rank).where(F.col("place") <= most).select("bucket", F.col("node").alias("b"), F.col("label").alias("b_label"), F.col("weight").alias("b_weight"))
+        sizes = here.groupBy("bucket", "label").agg(F.count("*").alias("own"))
+        parted = sizes.groupBy("bucket").agg(F.count("*").alias("parts"), (F.sum("own") - F.max("own")).alias("outside")).where("parts > 1")
+        open_ = stage(here.join(sizes, ["bucket", "label"]).join(parted, "bucket"), "near-open")
+        # Small classes lead first: once all but the largest have, every pair across classes is covered.
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("own", F.desc("fame"), "node"))
+        leaders = open_.withColumn("place", rank).where(F.col("place") <= count)
+        leaders = leaders.select("bucket", F.col("node").alias("b"), F.col("label").alias("b_label"), F.col("weight").alias("b_weight"))
         # Sums of weights bound the similarity from above.
-        pairs = open_.join(leaders, "bucket").where((F.col("label") != F.col("b_label")) & (F.least("weight", "b_weight") >= similarity * F.greatest("weight", "b_weight") - 1e-6))
+        near = F.least("weight", "b_weight") >= similarity * F.greatest("weight", "b_weight") - 1e-6
+        pairs = open_.join(leaders, "bucket").where((F.col("label") != F.col("b_label")) & near)
         pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "near-pairs")
-        if pairs.limit(1).count():
-            first = pairs.join(bodies.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
-            full = first.join(bodies.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
-            measured = stage(_similarities(full, weights), "near-similarities")
-            found = measured.where(F.col("similarity") >= similarity).select("a", "b")
-            links = found if links is None else links.union(found)
-            tested = pairs if tested is None else tested.union(pairs)
-            labels = connected(links)
-        # All members of every open bucket have been leaders: no pair is left.
-        if not open_.groupBy("bucket").count().where(F.col("count") > most).limit(1).count():
+        first = pairs.join(bodies.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
+        full = first.join(bodies.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
+        links = stage(_similarities(full, weights), "near-similarities").where(F.col("similarity") >= similarity).select("a", "b")
+        tested = pairs if tested is None else tested.union(pairs)
+        if links.limit(1).count():
+            labels = _joined(labels, links)
+        if not open_.where(F.col("outside") > count).limit(1).count():
             break
-        count = LEADERS if count == 1 else 2 * count
+        count = LEADERS if count == 1 else 8 * count
     named = drawn.join(labels, "node", "left") if labels is not None else drawn.withColumn("label", F.col("node"))
     named = named.withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_rows"))

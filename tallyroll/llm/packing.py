@@ -99,7 +99,7 @@ def pack(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int = END
         return frame
 
     fields = cut.schema.simpleString()[len("struct<"):-1]
-    packed = map_groups(cut.groupBy("pack_group"), fill, f"{fields},sequence_id:bigint,offset:bigint")
+    packed = map_groups(cut, "pack_group", fill, f"{fields},sequence_id:bigint,offset:bigint")
     return packed.drop("draw", "pack_group")
 
 

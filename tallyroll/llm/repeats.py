@@ -307,11 +307,11 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     groups = int(chars // GROUP_CHARS) + 8
     plain = rows.select(F.col("key").alias("doc_id"), "text").dropDuplicates(["doc_id"]) if _repeats_keys(rows) else rows.select(F.col("key").alias("doc_id"), "text")
     packed = map_texts(plain, _parse(groups), _PACKED)
-    found = stage(map_groups(packed.groupBy("bucket"), _dictionary, _FOUND), "repeats-found")
+    found = stage(map_groups(packed, "bucket", _dictionary, _FOUND), "repeats-found")
     whole = found.where("trigger is null").select("doc_id", "start", (F.col("start") + F.col("span") + LENGTH).alias("end"))
     asks = found.where("trigger is not null").groupBy("doc_id").agg(F.collect_list(F.struct("start", "left", "span", "trigger")).alias("asks"))
     sides = _sides(plain.join(asks, "doc_id"))
-    parts = map_groups(sides.groupBy(F.pmod(F.xxhash64("trigger", "near"), F.lit(groups)).alias("bucket")), _compare, "doc_id long, start long, end long")
+    parts = map_groups(sides, F.pmod(F.xxhash64("trigger", "near"), F.lit(groups)).alias("bucket"), _compare, "doc_id long, start long, end long")
     return whole.union(stage(parts, "repeats-parts")).withColumnRenamed("doc_id", "key")
 
 
