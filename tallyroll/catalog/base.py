@@ -71,7 +71,7 @@ receipts AS (
 raw_test AS (
   SELECT User_id, Merchant_id, Coupon_id, Discount_rate, raw_distance AS Distance,
     CAST(DATE '2016-07-01' + CAST(day_offset % 31 AS INTEGER) AS DATE) AS received_day
-  FROM coupon_rows WHERE l_returnflag <> 'R' AND o_orderkey % 10 = 0),
+  FROM coupon_rows WHERE l_returnflag <> 'R'),
 """
 
 
@@ -116,6 +116,15 @@ def sql(body: str, *ctes: str, windows=TRAIN) -> str:
     return _RECEIPTS + _PREPARED + ",\n".join([window_ctes(*windows), *ctes]) + "\n" + body
 
 
+def sql_uniform(keys: str, seed: int) -> str:
+    """The draws of ``functions.draws``; ``keys`` are the key columns with commas."""
+    return f"((CAST(('0x' || substr(md5(concat_ws('|', {keys}, '{seed}')), 1, 13)) AS BIGINT)::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE)"
+
+
+def sql_normal(keys: str, seed: int) -> str:
+    return f"round(sqrt(-2 * ln({sql_uniform(keys, seed)})) * cos(2 * pi() * {sql_uniform(keys, seed + 1_000_003)}), 8)"
+
+
 def sql_avg_rank(key: str, value: str, ascending: bool) -> str:
     way = "ASC" if ascending else "DESC"
     return (

@@ -126,7 +126,10 @@ SELECT p_partkey, 'p_size' AS series, CAST(p_size AS DOUBLE) AS value FROM part
 UNION ALL SELECT p_partkey, 'p_retailprice', p_retailprice FROM part""",
     ),
     "scatter_sample": Query(
-        lambda spark, sf_dir: ex.scatter_sample(load_table(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice", 0.1, 5)
+        lambda spark, sf_dir: ex.scatter_sample(load_table(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice", 0.1, ["l_orderkey", "l_linenumber"], 5),
+        f"""
+SELECT l_quantity, l_extendedprice FROM lineitem
+WHERE substr(md5(concat_ws('|', l_orderkey, l_linenumber, '5')), 1, 8) < '{int(0.1 * (1 << 32)):08x}'""",
     ),
     "pie_shares": Query(pie_shares, """
 SELECT c_custkey, round(abs(c_acctbal) / (SELECT sum(abs(c_acctbal)) FROM customer) * 1000, 8) AS per_mille FROM customer"""),

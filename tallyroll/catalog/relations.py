@@ -191,8 +191,8 @@ QUERIES = {
         sql(f"SELECT {_DAYS_SQL} FROM receipts WHERE Date_received IS NOT NULL"),
     ),
     "filter_isin": Query(
-        lambda spark, sf_dir: flt.filter_isin(receipts(spark, sf_dir), "Distance", [1, 6, 2, 5]).select(*_ID, "Distance"),
-        sql("SELECT User_id, Merchant_id, Coupon_id, Distance FROM receipts WHERE Distance IN (1, 6, 2, 5)"),
+        lambda spark, sf_dir: flt.filter_isin(receipts(spark, sf_dir), "Distance", [0, 4, 9]).select(*_ID, "Distance"),
+        sql("SELECT User_id, Merchant_id, Coupon_id, Distance FROM receipts WHERE Distance IN (0, 4, 9)"),
     ),
     "filter_compound": Query(filter_compound, sql(f"""
 SELECT {_DAYS_SQL} FROM prep
@@ -283,5 +283,10 @@ SELECT User_id, Date_received, Coupon_id, Merchant_id, Distance FROM (
     "union_rows": Query(union_rows, sql("""
 SELECT User_id, Merchant_id, Coupon_id, Date_received, label FROM lab
 UNION ALL SELECT User_id, Merchant_id, Coupon_id, Date_received, NULL FROM test_prep""")),
-    "sample_rows": Query(lambda spark, sf_dir: rel.sample_rows(receipts(spark, sf_dir), 100, seed=3)),
+    "sample_rows": Query(
+        lambda spark, sf_dir: rel.sample_rows(
+            load_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), 100, ["l_orderkey", "l_linenumber"], seed=3
+        ),
+        "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem ORDER BY md5(concat_ws('|', l_orderkey, l_linenumber, '3')), 1, 2 LIMIT 100",
+    ),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyroll.catalog.base import Query, label_frame, r8, sql
+from tallyroll.catalog.base import Query, label_frame, r8, sql, sql_normal, sql_uniform
 from tallyroll.features.label import coupon_label_features
 from tallyroll.runtime import new_path
 from tallyroll.schema import RECEIPTS, RESULT
@@ -65,7 +65,8 @@ def inline_rows_query(spark, sf_dir):
 
 def random_table(spark, sf_dir):
     orders = load_table(spark, sf_dir, "orders").select("o_orderkey")
-    return random_columns(orders, [f"data{i}" for i in range(5)], ("letter", ["a", "b", "c"]), seed=7)
+    return random_columns(orders, ["o_orderkey"], [f"data{i}" for i in range(5)], ("letter", ["a", "b", "c"]), seed=7).select(
+        "o_orderkey", *[r8(f"data{i}") for i in range(5)], "letter")
 
 
 QUERIES = {
@@ -87,5 +88,8 @@ SELECT kind, count(*) AS n
 FROM lineitem JOIN (VALUES ('R', 'bought without coupon'), ('A', 'coupon used'), ('N', 'coupon not used')) k(flag, kind)
   ON l_returnflag = flag
 GROUP BY kind"""),
-    "random_table": Query(random_table),
+    "random_table": Query(random_table, f"""
+SELECT o_orderkey, {", ".join(f"{sql_normal('o_orderkey', 7 + i)} AS data{i}" for i in range(5))},
+  ['a', 'b', 'c'][CAST(floor({sql_uniform('o_orderkey', 12)} * 3) AS INTEGER) + 1] AS letter
+FROM orders"""),
 }

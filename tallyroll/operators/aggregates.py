@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyroll.runtime import stage
+
 
 def known(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows where no given column is null, as plain filters that reach the scan."""
@@ -66,23 +68,35 @@ def cond_agg(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def global_stats(df: DataFrame) -> DataFrame:
-    """One row: sizes, distinct ids and the range of both days (raw text days)."""
-
-    def distinct(column: str, out: str) -> Column:
-        return df.select(column).distinct().agg(F.count(column)).scalar().alias(out)
-
-    # Several distinct counts in one aggregate would multiply every row before
-    # the shuffle; as scalar subqueries each one reads a single column.
-    return df.agg(
-        F.count("*").alias("record_count"),
-        F.count("Date_received").alias("received_count"),
-        F.min("Date_received").alias("min_received"),
-        F.max("Date_received").alias("max_received"),
-        F.min("Date").alias("min_date"),
-        F.max("Date").alias("max_date"),
-    ).select(
-        "*", distinct("Coupon_id", "coupon_count"), distinct("User_id", "user_count"),
-        distinct("Merchant_id", "merchant_count"),
+    """One row: sizes, distinct ids and the range of both days (raw text days).
+
+    The input is read once: each row becomes one row per id, with the row's own
+    facts beside the first. Rows are summed by (kind, id) before the shuffle.
+    """
+    kinds = {"coupon": "Coupon_id", "user": "User_id", "merchant": "Merchant_id"}
+    ids = F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("id"), F.lit(i == 0).alias("own"))
+        for i, (kind, c) in enumerate(kinds.items())
+    ])
+    own = F.col("own")
+    parts = (
+        df.select("Date_received", "Date", F.inline(ids))
+        .groupBy("kind", "id")
+        .agg(
+            F.count_if(own).alias("records"),
+            F.count_if(own & F.col("Date_received").isNotNull()).alias("received"),
+            *[f("Date_received").alias(f"{n}_received") for n, f in (("min", F.min), ("max", F.max))],
+            *[f("Date").alias(f"{n}_date") for n, f in (("min", F.min), ("max", F.max))],
+        )
+    )
+    return parts.agg(
+        F.coalesce(F.sum("records"), F.lit(0)).alias("record_count"),
+        F.coalesce(F.sum("received"), F.lit(0)).alias("received_count"),
+        F.min("min_received").alias("min_received"),
+        F.max("max_received").alias("max_received"),
+        F.min("min_date").alias("min_date"),
+        F.max("max_date").alias("max_date"),
+        *[F.count_if((F.col("kind") == kind) & F.col("id").isNotNull()).alias(f"{kind}_count") for kind in kinds],
     )
 
 
@@ -109,8 +123,9 @@ def value_counts(df: DataFrame, column: str, ordered: bool = True) -> DataFrame:
 
 def value_shares(df: DataFrame, column: str, ordered: bool = True) -> DataFrame:
     """Share of rows by value, greatest first; null left out."""
-    counts = group_count(df, [column], "n")
-    total = df.where(F.col(column).isNotNull()).agg(F.count("*")).scalar()
+    # Staged, as the counts are read twice and the input once.
+    counts = stage(group_count(df, [column], "n"), "value-counts")
+    total = counts.agg(F.sum("n")).scalar()
     shares = counts.select(column, (F.col("n") / total).alias("share"))
     return shares.orderBy(F.desc("share"), column) if ordered else shares
 

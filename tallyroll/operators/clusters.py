@@ -14,6 +14,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyroll.functions.draws import uniform
 from tallyroll.operators.aggregates import known
 from tallyroll.runtime import stage
 
@@ -62,14 +63,20 @@ def _draw(weighted: DataFrame, columns: Sequence[str], k: int, seed: int) -> Dat
     The draw is a hash of the point, so it does not change with the partitioning
     or when a task runs again.
     """
-    bits = 1 << 31
-    uniform = (F.pmod(F.xxhash64(*columns, F.lit(seed)), F.lit(bits)) + 0.5) / bits
-    return weighted.orderBy(-F.ln(uniform) / F.col(WEIGHT), *columns).limit(k).select(*columns)
+    return weighted.orderBy(-F.ln(uniform(columns, seed)) / F.col(WEIGHT), *columns).limit(k).select(*columns)
+
+
+def _drawn(weighted: DataFrame, columns: Sequence[str], k: int, seed: int) -> list[Centroid]:
+    rows = [list(row) for row in _draw(weighted, columns, k, seed).collect()]
+    if len(rows) < k:
+        raise ValueError(f"fewer than {k} distinct points")
+    return rows
 
 
 def init_random(points: DataFrame, columns: Sequence[str], k: int, seed: int = 0) -> DataFrame:
-    """k points at random; copies of a point raise its chance."""
-    return _draw(collapse(points, columns), columns, k, seed)
+    """k points at random; copies of a point raise its chance. Fewer distinct points are an error."""
+    rows = [tuple(row) for row in _drawn(collapse(points, columns), columns, k, seed)]
+    return points.sparkSession.createDataFrame(rows, points.select(*columns).schema)
 
 
 def _farthest(points: DataFrame, columns: Sequence[str], chosen: Sequence[Centroid]) -> Centroid:
@@ -84,7 +91,7 @@ def farthest_first(
     """The first point is given or drawn from weighted points; each next one is the point farthest
     from those chosen. Ties go to the greatest point. One aggregate per centroid."""
     if first is None:
-        first = list(_draw(points, columns, 1, seed).first())
+        first = _drawn(points, columns, 1, seed)[0]
     chosen = [list(first)]
     while len(chosen) < k:
         chosen.append(_farthest(points, columns, chosen))
@@ -147,7 +154,8 @@ def lloyd(
 
     A run ends when its SSE changes by at most ``sse_tol``. An empty cluster
     starts the run again from random points. All open runs share a pass over
-    the points. ``points`` carries a weight column (see ``collapse``).
+    the points. ``points`` carries a weight column (see ``collapse``). It is an
+    error if a run has not ended after ``max_passes``, or has too few points.
     """
     draws = random.Random(seed)
     open_runs = {run: [list(c) for c in start] for run, start in starts.items()}
@@ -157,10 +165,7 @@ def lloyd(
         for run, (means, sse) in _pass(points, columns, open_runs).items():
             k = len(open_runs[run])
             if len(means) < k:
-                drawn = _draw(points, columns, k, draws.randrange(1 << 30)).collect()
-                if len(drawn) < k:
-                    raise ValueError(f"fewer than {k} distinct points")
-                open_runs[run] = [list(row) for row in drawn]
+                open_runs[run] = _drawn(points, columns, k, draws.randrange(1 << 30))
                 last.pop(run, None)
                 continue
             open_runs[run] = [means[i] for i in range(k)]
@@ -169,7 +174,7 @@ def lloyd(
             last[run] = sse
         if not open_runs:
             return done
-    return done | {run: (centroids, last.get(run, float("nan"))) for run, centroids in open_runs.items()}
+    raise ValueError(f"runs {sorted(open_runs)} have not ended after {max_passes} passes")
 
 
 def kmeans_fit(
@@ -189,13 +194,21 @@ def kmeans_elbow(
 ) -> DataFrame:
     """SSE for each number of clusters, from random starts."""
     weighted = stage(collapse(points, columns), "points")
-    drawn = [list(row) for row in _draw(weighted, columns, max(ks), seed).collect()]
+    drawn = _drawn(weighted, columns, max(ks), seed)
     runs = lloyd(weighted, columns, {k: drawn[:k] for k in ks}, sse_tol, seed=seed)
     return points.sparkSession.createDataFrame([(k, runs[k][1]) for k in ks], "k int, sse double")
 
 
-def kmeans_fit_vectors(vectors: DataFrame, column: str, k: int, seed: int = 0) -> DataFrame:
-    """Centroids of an array column by the stock estimator, for many dimensions."""
-    model = KMeans(k=k, seed=seed).fit(vectors.select(array_to_vector(F.col(column).cast("array<double>")).alias("features")))
-    rows = [(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
-    return vectors.sparkSession.createDataFrame(rows, "cluster int, centroid array<double>")
+def kmeans_fit_vectors(
+    vectors: DataFrame, column: str, k: int, seed: int = 0, max_passes: int = 500, tol: float = 1e-4
+) -> DataFrame:
+    """Centroids of an array column by the stock estimator, for many dimensions, and the passes used.
+
+    It is an error if the centroids still move by more than ``tol`` after ``max_passes``.
+    """
+    model = KMeans(k=k, seed=seed, maxIter=max_passes, tol=tol).fit(vectors.select(array_to_vector(F.col(column).cast("array<double>")).alias("features")))
+    passes = model.summary.numIter
+    if passes >= max_passes:
+        raise ValueError(f"not ended after {max_passes} passes")
+    rows = [(i, [float(v) for v in c], passes) for i, c in enumerate(model.clusterCenters())]
+    return vectors.sparkSession.createDataFrame(rows, "cluster int, centroid array<double>, passes int")

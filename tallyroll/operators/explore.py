@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyroll.functions.draws import draw
 from tallyroll.operators.aggregates import group_agg, group_count, value_shares
 from tallyroll.operators.filters import filter_has_distance, filter_used
 
@@ -135,6 +136,6 @@ def pie_shares(df: DataFrame, name: str, value: str, out: str = "share") -> Data
     return df.select(name, F.try_divide(F.col(value), total).alias(out))
 
 
-def scatter_sample(df: DataFrame, x: str, y: str, fraction: float, seed: int = 0) -> DataFrame:
-    """Two columns of a random share of the rows."""
-    return df.select(x, y).sample(fraction, seed)
+def scatter_sample(df: DataFrame, x: str, y: str, fraction: float, keys: Sequence[str], seed: int = 0) -> DataFrame:
+    """Two columns of a random share of the rows, drawn by a hash of their unique ``keys``."""
+    return df.where(F.substring(draw(keys, seed), 1, 8) < f"{int(fraction * (1 << 32)):08x}").select(x, y)

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tallyroll.functions import parse_day
+
 # First days and lengths of the windows.
 WINDOWS = {
     "train": {"history": ("2016-01-31", 90), "label": ("2016-04-30", 31)},
@@ -27,11 +29,13 @@ def interval(df: DataFrame, contain: str, beginning: str, length: int) -> DataFr
 
     ``contain`` is a date column or raw ``yyyyMMdd`` text. Text of that form
     sorts like the day, so the filter on a raw column reaches the file scan.
+    Text that is no day drops.
     """
     first = dt.date.fromisoformat(beginning)
     last = first + dt.timedelta(days=length - 1)
     if isinstance(df.schema[contain].dataType, StringType):
-        return df.where(F.col(contain).between(f"{first:%Y%m%d}", f"{last:%Y%m%d}"))
+        inside = F.col(contain).between(f"{first:%Y%m%d}", f"{last:%Y%m%d}")
+        return df.where(inside & parse_day(contain).isNotNull())
     return df.where(F.col(contain).between(F.lit(first), F.lit(last)))
 
 

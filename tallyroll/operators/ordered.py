@@ -111,7 +111,7 @@ def next_value(df: DataFrame, key: str, value: str, row_id: str, out: str) -> Da
     """The value of the row that follows inside the key by (value, row id).
 
     Rows are sorted by range over all tasks; the last row of a key in a range
-    takes the first value of the key's next range.
+    takes the first value of the key's next range. Null where key or value is.
     """
     parts = range_parts(df, [key, value, row_id])
     following = F.lead(value).over(W.partitionBy(_PART, key).orderBy(value, row_id))
@@ -123,7 +123,7 @@ def next_value(df: DataFrame, key: str, value: str, row_id: str, out: str) -> Da
     return (
         parts.withColumn(out, following)
         .join(F.broadcast(crossing), [_PART, key], "left")
-        .withColumn(out, F.when(F.col(value).isNotNull(), F.coalesce(out, "_next")))
+        .withColumn(out, F.when(F.col(key).isNotNull() & F.col(value).isNotNull(), F.coalesce(out, "_next")))
         .drop(_PART, "_next")
     )
 

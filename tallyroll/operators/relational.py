@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyroll.functions.draws import draw
 from tallyroll.operators.aggregates import group_agg
 
 
@@ -34,8 +35,8 @@ def reorder(df: DataFrame, *first: str, last: Sequence[str] = ()) -> DataFrame:
 
 
 def cast_int_cols(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Cast columns to the given integer types, cutting towards zero."""
-    return df.withColumns({c: F.col(c).cast(kind) for c, kind in columns.items()})
+    """Cast columns to the given integer types, cutting towards zero; null for text that is no number."""
+    return df.withColumns({c: F.col(c).try_cast(kind) for c, kind in columns.items()})
 
 
 def fill_all_zero(df: DataFrame) -> DataFrame:
@@ -82,11 +83,12 @@ def count_over(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
 
 
 def sort_values(df: DataFrame, *order: str | Column) -> DataFrame:
-    return df.orderBy(*order)
+    """Sort; nulls of a column given by name come last."""
+    return df.orderBy(*[F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order])
 
 
 def top_k(df: DataFrame, k: int, by: str, *ties: str | Column) -> DataFrame:
-    """The k greatest rows; each task keeps k, so nothing is sorted as a whole."""
+    """The k greatest rows; each task keeps k, and one task puts them together: for small k."""
     return df.orderBy(F.desc(by), *ties).limit(k)
 
 
@@ -99,13 +101,15 @@ def arg_max(df: DataFrame, by: str, *ties: str) -> DataFrame:
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], ascending: bool = True) -> DataFrame:
     """For each key the first row by ``order``, as one struct minimum or maximum.
 
-    The columns that are not keys or order follow as ties, so the row is the same
-    on every run. Aggregates before the shuffle, unlike a row number.
+    A missing order value comes last either way. The columns that are not keys or
+    order follow as ties, so the row is the same on every run. Aggregates before
+    the shuffle, unlike a row number.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     pick = F.min if ascending else F.max
+    ranked = [x for i, c in enumerate(order) for x in ((F.col(c).isNull() if ascending else F.col(c).isNotNull()).alias(f"_missing{i}"), F.col(c))]
     return (
-        group_agg(df, keys, pick(F.struct(*order, *rest)).alias("row"))
+        group_agg(df, keys, pick(F.struct(*ranked, *rest)).alias("row"))
         .select(*keys, "row.*")
         .select(*df.columns)
     )
@@ -123,8 +127,11 @@ def union_rows(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(b, allowMissingColumns=True)
 
 
-def sample_rows(df: DataFrame, k: int, seed: int = 0) -> DataFrame:
-    """k rows without replacement; each task keeps its k smallest draws."""
-    return df.orderBy(F.rand(seed)).limit(k)
+def sample_rows(df: DataFrame, k: int, keys: Sequence[str], seed: int = 0) -> DataFrame:
+    """k rows without replacement, drawn by a hash of their unique ``keys``.
+
+    Each task keeps its k smallest draws, and one task puts them together: for small k.
+    """
+    return df.orderBy(draw(keys, seed), *keys).limit(k)
 
 

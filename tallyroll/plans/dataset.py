@@ -112,10 +112,12 @@ def stage_inputs(receipts: DataFrame, test: DataFrame) -> tuple[DataFrame, DataF
     return stage(rows, "receipts"), stage(preprocess(test, has_outcome=False), "receipts-test")
 
 
-def train_validate_test(receipts: DataFrame, test: DataFrame) -> dict[str, DataFrame]:
-    """The three model tables."""
+def train_validate_test(
+    receipts: DataFrame, test: DataFrame, names: Sequence[str] = ("train", "validate", "test")
+) -> dict[str, DataFrame]:
+    """The three model tables, or those that are named."""
     frames = split_windows(*stage_inputs(receipts, test))
     return {
         name: build_dataset(build_features(f["history"], f["all_history"], f["label"]))
-        for name, f in frames.items()
+        for name, f in frames.items() if name in names
     }

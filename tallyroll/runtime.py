@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,24 +25,35 @@ def local_session(app: str = "tallyroll", cores: str = "*", shuffle_partitions:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, or set on the context.
+    """The folder named by ``spark.checkpoint.dir``, or else set on the context.
 
-    Only a local session may go without either: its driver and tasks share one
-    disk. On a cluster a folder of one machine would lose data, so ask for it.
+    A folder of one machine would lose data on a cluster, so none is made up.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyroll-"))
-        folder = context.getCheckpointDir()
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     return folder.rstrip("/")
 
 
+def allow_checkpoints(spark: SparkSession) -> None:
+    """For estimators that cut their own lineage: they ask the context for the folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tallyroll/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/tallyroll/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in a folder of this session."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete all that this session has staged; call it when no result that reads it is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

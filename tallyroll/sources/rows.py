@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyroll.functions.draws import normal as normal_draw
+from tallyroll.functions.draws import uniform
+
 
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A table written in the program itself."""
@@ -14,14 +17,14 @@ def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
 
 
 def random_columns(
-    df: DataFrame, normal: Sequence[str] = (), choice: tuple[str, Sequence[str]] | None = None, seed: int = 0
+    df: DataFrame, keys: Sequence[str], normal: Sequence[str] = (), choice: tuple[str, Sequence[str]] | None = None, seed: int = 0
 ) -> DataFrame:
-    """Add standard normal columns and a uniform pick from a list, drawn on the executors."""
+    """Add standard normal columns and a uniform pick from a list, drawn by a hash of the row's unique ``keys``."""
     out = df
     for i, name in enumerate(normal):
-        out = out.withColumn(name, F.randn(seed + i))
+        out = out.withColumn(name, normal_draw(keys, seed + i))
     if choice is not None:
         name, options = choice
-        at = (F.floor(F.rand(seed + len(normal)) * len(options)) + 1).cast("int")
+        at = (F.floor(uniform(keys, seed + len(normal)) * len(options)) + 1).cast("int")
         out = out.withColumn(name, F.element_at(F.array(*[F.lit(o) for o in options]), at))
     return out

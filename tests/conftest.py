@@ -9,13 +9,15 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from tallyroll.runtime import local_session, shared_folder
+def spark(tmp_path_factory):
+    from tallyroll.runtime import clear_staged, local_session
 
     session = local_session("tests", "8", shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
-    shared_folder(session)
+    if session.conf.get("spark.checkpoint.dir", None) is None:
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield session
+    clear_staged(session)
     session.stop()
 
 

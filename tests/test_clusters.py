@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tallyroll.operators import clusters as cl
 
-DOTS = [[1, 10], [20, 2], [20, 3], [2, 11]]
+DOTS = [[-6, 30], [-4, 34], [50, 7], [52, 9]]
 XY = ["x", "y"]
 
 
@@ -21,7 +21,7 @@ def cloud(spark):
 
 
 def test_empty_cluster_is_seen(dots):
-    assigned = cl.kmeans_assign(dots, XY, [(1, 2), (2, 3)])
+    assigned = cl.kmeans_assign(dots, XY, [(-90, -80), (10, 20)])
     assert {r["cluster"] for r in assigned.collect()} == {1}
 
 
@@ -30,22 +30,31 @@ def test_lowest_cluster_wins_ties(dots):
 
 
 def test_farthest_first_and_fit(dots):
-    start = cl.farthest_first(dots, XY, 2, first=(1.0, 10.0))
-    assert start[1] == [20.0, 2.0]
+    start = cl.farthest_first(dots, XY, 2, first=(-6.0, 30.0))
+    assert start[1] == [52.0, 9.0]
     centroids, sse = cl.lloyd(cl.collapse(dots, XY), XY, {0: start})[0]
-    assert centroids == [[1.5, 10.5], [20.0, 2.5]]
-    assert sse == pytest.approx(1.5)
+    assert centroids == [[-5.0, 32.0], [51.0, 8.0]]
+    assert sse == pytest.approx(14.0)
 
 
 def test_restart_after_an_empty_cluster(dots):
-    centroids, sse = cl.lloyd(cl.collapse(dots, XY), XY, {0: [(1, 2), (2, 3)]})[0]
-    assert len(centroids) == 2 and sse == pytest.approx(1.5)
+    centroids, sse = cl.lloyd(cl.collapse(dots, XY), XY, {0: [(-90, -80), (10, 20)]})[0]
+    assert len(centroids) == 2 and sse == pytest.approx(14.0)
 
 
 def test_too_few_points(spark):
     one = spark.createDataFrame([(1.0, 1.0)] * 5, "x double, y double")
     with pytest.raises(ValueError):
         cl.lloyd(cl.collapse(one, XY), XY, {0: [(0, 0), (5, 5)]})
+    with pytest.raises(ValueError):
+        cl.kmeans_elbow(one, XY, ks=(1, 2))
+    with pytest.raises(ValueError):
+        cl.init_random(one, XY, 2)
+
+
+def test_runs_that_do_not_end_are_an_error(dots):
+    with pytest.raises(ValueError):
+        cl.lloyd(cl.collapse(dots, XY), XY, {0: [(-6, 30), (-4, 34)]}, max_passes=1)
 
 
 def brute(data, start, tol=0.01):

@@ -72,11 +72,19 @@ def test_one_group_spreads_over_ranges(spark):
 
 
 def test_next_value_toy(spark):
-    users = [1, 1, 1, 1, 4, 1, 1, 1, 1, 1, 1, 1, 1, 1, 4]
-    values = [2, 2, 2, 5, 34, 2, 64, 3, 2, 7, 2, 9, 2, 2, 7]
-    df = spark.createDataFrame([(i, u, v) for i, (u, v) in enumerate(zip(users, values))], "id int, u int, b int")
-    got = [r["next"] for r in od.next_value(df, "u", "b", "id", "next").orderBy("id").collect()]
-    assert got == [2, 2, 2, 7, None, 2, None, 5, 2, 9, 2, 64, 2, 3, 34]
+    rows = [("p", 40), ("q", 10), ("p", 15), ("p", 40), ("q", 12), ("p", 8), (None, 3), (None, 4), ("q", None), ("p", None), ("q", 10)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, u string, b int")
+    want = [40, 10, 40, None, None, 15, None, None, None, None, 12]
+    for parts in (2, 16):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        got = [r["next"] for r in od.next_value(df, "u", "b", "id", "next").orderBy("id").collect()]
+        assert got == want
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+
+
+def test_next_value_of_null_keys(spark):
+    df = spark.range(400).select(F.lit(None).cast("int").alias("u"), (F.col("id") % 50).alias("b"), "id")
+    assert od.next_value(df, "u", "b", "id", "next").where("next IS NOT NULL").count() == 0
 
 
 def test_next_value_of_a_hot_group(hot, hot_rows):
@@ -87,10 +95,11 @@ def test_next_value_of_a_hot_group(hot, hot_rows):
 
 
 def test_range_self_count_toy(spark):
-    days = [dt.date(2021, 2, 2), dt.date(2021, 2, 1), dt.date(2021, 2, 3), dt.date(2024, 2, 1)]
-    df = spark.createDataFrame(list(zip(range(4), [1, 1, 1, 2], [3, 2, 3, 2], days)), "id int, u int, c int, t date")
+    rows = [(0, 9, 5, dt.date(2019, 6, 1)), (1, 9, 5, dt.date(2019, 6, 8)), (2, 9, 5, dt.date(2019, 6, 9)),
+            (3, 9, 6, dt.date(2019, 6, 8)), (4, 9, 5, dt.date(2019, 6, 30)), (5, 8, 5, dt.date(2019, 6, 1)), (6, 9, 5, dt.date(2019, 6, 8))]
+    df = spark.createDataFrame(rows, "id int, u int, c int, t date")
     got = od.range_self_count(df, ["u", "c"], "t", "n").orderBy("id").collect()
-    assert [r["n"] for r in got] == [2, 1, 2, 1]
+    assert [r["n"] for r in got] == [3, 4, 3, 1, 1, 1, 4]
 
 
 def test_edges_and_gaps(spark):

@@ -16,34 +16,31 @@ def bag(df):
 
 @pytest.fixture(scope="module")
 def a(spark):
-    return spark.createDataFrame(list(zip([1, 1, 2, 4, 3], [4, 3, 3, 5, 6])), "c1 int, c2 int")
+    return spark.createDataFrame([(70, 12), (70, 18), (81, 5), (92, 6), (95, 30)], "c1 int, c2 int")
 
 
 @pytest.fixture(scope="module")
 def b(spark):
-    return spark.createDataFrame([(3, 1), (1, 2), (2, 3)], "c1 int, c3 int")
+    return spark.createDataFrame([(95, 400), (70, 100), (81, 200)], "c1 int, c3 int")
 
 
 def test_left_join(a, b):
-    assert bag(rel.left_join(a, b, "c1")) == Counter([(1, 4, 2), (1, 3, 2), (2, 3, 3), (4, 5, None), (3, 6, 1)])
+    assert bag(rel.left_join(a, b, "c1")) == Counter([(70, 12, 100), (70, 18, 100), (81, 5, 200), (92, 6, None), (95, 30, 400)])
 
 
 def test_right_join(a, b):
-    assert bag(rel.right_join(a, b, "c1")) == Counter([(3, 6, 1), (1, 4, 2), (1, 3, 2), (2, 3, 3)])
+    assert bag(rel.right_join(a, b, "c1")) == Counter([(95, 30, 400), (70, 12, 100), (70, 18, 100), (81, 5, 200)])
 
 
 def test_pivot(a):
-    wide = ag.pivot_cols(a.withColumn("c6", F.col("c1") - F.col("c2")), "c1", [1, 2, 3, 4], "c6")
-    assert wide.first().asDict() == {"1": -2.5, "2": -1.0, "3": -3.0, "4": -1.0}
+    wide = ag.pivot_cols(a.withColumn("c6", F.col("c1") - F.col("c2")), "c1", [70, 81, 92, 95], "c6")
+    assert wide.first().asDict() == {"70": 55.0, "81": 76.0, "92": 86.0, "95": 65.0}
 
 
 def test_union(spark):
-    rows = list(zip([1, 1, 1, 4, 3], [-1, -1, -2, -1, -3], [2, 2, 3, 5, 6]))
-    c = spark.createDataFrame([(*r, 1) for r in rows], "c1 int, c6 int, c2 int, cnt int")
-    d = spark.createDataFrame([(0, r[2], i, r[0]) for i, r in enumerate(rows, 1)], "cnt int, c2 int, c6 int, c1 int")
-    both = rel.union_rows(c, d)
-    assert both.count() == 10
-    assert both.agg(F.sum("cnt"), F.sum("c6")).first() == (5, 7)
+    c = spark.createDataFrame([(31, "n", 2.5), (32, "s", 4.0)], "place int, side string, far double")
+    d = spark.createDataFrame([("w", 33), ("n", 31), ("e", 34)], "side string, place int")
+    assert bag(rel.union_rows(c, d)) == Counter([(31, "n", 2.5), (32, "s", 4.0), (33, "w", None), (31, "n", None), (34, "e", None)])
 
 
 def test_null_keys_stay_without_a_value(spark):
@@ -63,6 +60,15 @@ def test_first_per_key(spark):
     assert bag(rel.first_per_key(df, ["k"], ["day"], ascending=False)) == Counter([("a", 2, 9), ("b", 3, 7)])
 
 
+@pytest.mark.parametrize("parts", [2, 16])
+def test_missing_order_values_come_last(spark, parts):
+    df = spark.createDataFrame([("a", None, 1), ("a", 5, 2), ("a", 7, 3), ("b", None, 4)], "k string, day int, v int").repartition(parts)
+    assert bag(rel.first_per_key(df, ["k"], ["day"])) == Counter([("a", 5, 2), ("b", None, 4)])
+    assert bag(rel.first_per_key(df, ["k"], ["day"], ascending=False)) == Counter([("a", 7, 3), ("b", None, 4)])
+    assert [r["day"] for r in rel.sort_values(df, "day", "v").collect()] == [5, 7, None, None]
+    assert [r["v"] for r in rel.sort_values(df, F.desc("day"), "v").collect()] == [3, 2, 1, 4]
+
+
 def test_reorder_and_drop(a):
     wide = a.withColumn("label", F.lit(1))
     assert rel.reorder(wide, "c2", last=["c1"]).columns == ["c2", "label", "c1"]
@@ -72,13 +78,15 @@ def test_reorder_and_drop(a):
 
 def test_sample(spark):
     df = spark.range(1000)
-    picked = [r["id"] for r in rel.sample_rows(df, 50, seed=4).collect()]
+    picked = [r["id"] for r in rel.sample_rows(df, 50, ["id"], seed=4).collect()]
     assert len(set(picked)) == 50
+    assert picked == [r["id"] for r in rel.sample_rows(df.repartition(7), 50, ["id"], seed=4).collect()]
+    assert picked != [r["id"] for r in rel.sample_rows(df, 50, ["id"], seed=5).collect()]
 
 
 def test_interval(spark):
-    days = ["20160130", "20160131", "20160429", "20160430", None]
-    df = spark.createDataFrame([(d,) for d in days], "raw string").withColumn("day", F.to_date("raw", "yyyyMMdd"))
+    days = ["20160130", "20160131", "20160429", "20160430", None, "2016022x", "20160231"]
+    df = spark.createDataFrame([(d,) for d in days], "raw string").withColumn("day", F.try_to_date("raw", "yyyyMMdd"))
     for column in ("raw", "day"):
         kept = sorted(r["raw"] for r in flt.interval(df, column, "2016-01-31", 90).collect())
         assert kept == ["20160131", "20160429"]

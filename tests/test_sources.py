@@ -1,3 +1,4 @@
+import os
 from collections import Counter
 
 import pytest
@@ -49,7 +50,7 @@ def test_adapter_shape(spark):
 
 def test_small_tables(spark):
     assert inline_rows(spark, [(1, "a")], "n int, t string").collect() == [(1, "a")]
-    df = random_columns(spark.range(500), ["z"], ("pick", ["a", "b", "c"]), seed=1)
+    df = random_columns(spark.range(500), ["id"], ["z"], ("pick", ["a", "b", "c"]), seed=1)
     assert {r["pick"] for r in df.collect()} == {"a", "b", "c"}
     assert abs(df.agg({"z": "avg"}).first()[0]) < 0.2
 
@@ -59,14 +60,32 @@ class Session:
 
     def __init__(self, master, setting=None, on_context=None):
         self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: setting or default)})
-        self.sparkContext = type("Context", (), {"master": master, "getCheckpointDir": staticmethod(lambda: on_context)})
+        self.sparkContext = type("Context", (), {
+            "master": master, "applicationId": "app-1", "getCheckpointDir": staticmethod(lambda: on_context)})
 
 
 def test_shared_folder_comes_from_the_session():
-    assert runtime.new_path(Session("yarn", "hdfs://a/b/"), "x").startswith("hdfs://a/b/tallyroll/x-")
+    assert runtime.new_path(Session("yarn", "hdfs://a/b/"), "x").startswith("hdfs://a/b/tallyroll/app-1/x-")
     assert runtime.shared_folder(Session("yarn", None, "hdfs://c")) == "hdfs://c"
 
 
-def test_a_cluster_needs_the_setting():
-    with pytest.raises(RuntimeError):
-        runtime.shared_folder(Session("yarn"))
+def test_the_setting_is_needed():
+    for master in ("yarn", "local[4]"):
+        with pytest.raises(RuntimeError):
+            runtime.shared_folder(Session(master))
+
+
+def test_staged_tables_can_be_cleared(spark, monkeypatch):
+    monkeypatch.setattr(runtime, "_own_folder", lambda s: f"{runtime.shared_folder(s)}/tallyroll/test-clear")
+    kept = runtime.stage(spark.range(5), "five")
+    files = [f.removeprefix("file:") for f in kept.inputFiles()]
+    assert files and all(os.path.exists(f) for f in files)
+    runtime.clear_staged(spark)
+    assert not any(os.path.exists(f) for f in files)
+
+
+def test_draws_do_not_depend_on_partitions(spark):
+    one = random_columns(spark.range(200), ["id"], ["z"], ("pick", ["a", "b"]), seed=2)
+    two = random_columns(spark.range(200).repartition(7), ["id"], ["z"], ("pick", ["a", "b"]), seed=2)
+    assert one.orderBy("id").collect() == two.orderBy("id").collect()
+    assert len({r["z"] for r in one.collect()}) == 200
