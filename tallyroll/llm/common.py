@@ -8,6 +8,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -16,6 +17,9 @@ from pyspark.sql.types import StructType
 #: Characters of text that a Python task works on at a time, so its memory does not follow the Arrow batch.
 BLOCK_CHARS = 1_000_000
 
+#: The most rows in an Arrow batch, if the session allows more: the batches of a task are held outside of the heap.
+BATCH_ROWS = 500
+
 #: White space between words.
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -45,22 +49,26 @@ def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
     """The same rows in frames of about BLOCK_CHARS characters of text; a longer text is alone."""
     for batch in batches:
         if batch.num_rows:
-            frame = batch.to_pandas(types_mapper=_WHOLE)
-            mark = frame["text"].str.len().to_numpy().cumsum() // BLOCK_CHARS
-            for _, part in frame.groupby(mark, sort=False):
-                yield part
+            mark = np.cumsum(pc.utf8_length(batch.column("text")).to_numpy().astype(np.int64)) // BLOCK_CHARS
+            cuts = [0, *(np.flatnonzero(np.diff(mark)) + 1).tolist(), batch.num_rows]
+            for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+                yield batch.slice(begin, end - begin).to_pandas(types_mapper=_WHOLE)
 
 
 _shared: set[str] = set()
 
 
-def share_code(df: DataFrame) -> DataFrame:
-    """``df``, after seeing to it that the Python workers of a local session can import this package.
+def to_python(df: DataFrame) -> DataFrame:
+    """``df``, after seeing to it that its texts go to Python workers in small batches, and that the workers of a
+    local session can import this package.
 
     They start in the folder the program was started in, wherever the package lies. On
     a cluster the package is installed, or given by ``--py-files``, like any other.
     """
-    context = df.sparkSession.sparkContext
+    spark, rows = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
+    context = spark.sparkContext
     if context.master.startswith("local[") and context.applicationId not in _shared:
         _shared.add(context.applicationId)
         context.addFile(str(Path(__file__).parents[1]), recursive=True)
@@ -75,7 +83,7 @@ def map_texts(docs: DataFrame, function: Callable[[Iterator[pd.DataFrame]], Iter
         for frame in function(blocks(batches)):
             yield pa.RecordBatch.from_pandas(frame, schema=arrow, preserve_index=False)
 
-    return share_code(docs).mapInArrow(run, schema)
+    return to_python(docs).mapInArrow(run, schema)
 
 
 def map_groups(docs: DataFrame, key: str | Column, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
@@ -85,7 +93,7 @@ def map_groups(docs: DataFrame, key: str | Column, function: Callable[[pd.DataFr
     def run(group: pa.Table) -> pa.Table:
         return pa.Table.from_pandas(function(group.to_pandas(types_mapper=_WHOLE)), schema=arrow, preserve_index=False)
 
-    return share_code(docs).groupBy(key).applyInArrow(run, schema)
+    return to_python(docs).groupBy(key).applyInArrow(run, schema)
 
 
 def longs(frame: pd.DataFrame, column: str) -> list[int | None]:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyroll.llm.common import free_name, longs, map_texts, share_code, table, texts
+from tallyroll.llm.common import free_name, longs, map_texts, to_python, table, texts
 from tallyroll.llm.hashing import mixed, shingles, word_hashes
 from tallyroll.runtime import stage
 
@@ -178,7 +178,7 @@ def _similarities(pairs: DataFrame, weights: np.ndarray) -> DataFrame:
                 out.append(common / union if union else 1.0)
             yield pa.RecordBatch.from_arrays([columns[0].cast(pa.binary()), columns[1].cast(pa.binary()), pa.array(out, pa.float64())], schema=schema)
 
-    return share_code(pairs).mapInArrow(compare, "a binary, b binary, similarity double")
+    return to_python(pairs).mapInArrow(compare, "a binary, b binary, similarity double")
 
 
 def connected(links: DataFrame) -> DataFrame:

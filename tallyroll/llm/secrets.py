@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroll.llm.common import longs, map_texts, share_code, table, texts
+from tallyroll.llm.common import longs, map_texts, to_python, table, texts
 
 KINDS = ("assign", "access", "hex", "tagged")
 _ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -348,7 +348,7 @@ def redact(docs: DataFrame, field: Field, mark: str = "[secret]") -> DataFrame:
             own = batch.column(place)
             yield batch.set_column(place, batch.schema.field(place), pa.array([clean(x.as_py()) for x in own], own.type))
 
-    return share_code(docs).mapInArrow(apply, docs.schema)
+    return to_python(docs).mapInArrow(apply, docs.schema)
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

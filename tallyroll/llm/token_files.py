@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyroll.llm.common import longs, map_texts, share_code, table, texts
+from tallyroll.llm.common import longs, map_texts, to_python, table, texts
 from tallyroll.llm.hashing import mixed
 from tallyroll.llm.tokens import public_path, word_encoder
 from tallyroll.runtime import new_path
@@ -183,7 +183,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
                     "ids_crc32": [zlib.crc32(shard.ids(s).astype("<u4").tobytes()) for s in slots],
                 })
 
-    read = share_code(stored).drop("first_id", "last_id", "n_ids", "shard").mapInPandas(documents, "doc_id long, copy int, part int, inside long, n_tokens long, ids_crc32 long")
+    read = to_python(stored).drop("first_id", "last_id", "n_ids", "shard").mapInPandas(documents, "doc_id long, copy int, part int, inside long, n_tokens long, ids_crc32 long")
     starts = (F.col("part_start") + F.col("inside")).alias("start")
     return read.join(parts, "part").select("doc_id", starts, "n_tokens", "ids_crc32", "copy")
 
