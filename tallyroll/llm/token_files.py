@@ -14,8 +14,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -166,24 +167,24 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     # One row for each written file.
     parts = parts.select("part", (F.sum("part_ids").over(Window.orderBy("part")) - F.col("part_ids")).alias("part_start"))
 
-    def documents(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples(index=False):
+    schema = pa.schema([("doc_id", pa.int64()), ("copy", pa.int32()), ("part", pa.int32()), ("inside", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+
+    def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = Row(**{k: v[0] for k, v in batch.slice(i, 1).to_pydict().items()})
                 shard = Shard(row)
-                doc_ids, copies = [None if pd.isna(x) else int(x) for x in row.doc_ids], [int(x) for x in row.copies]
-                slots = shard.find(document_keys(doc_ids, copies))
+                slots = shard.find(document_keys(row.doc_ids, row.copies))
                 if (slots < 0).any():
                     raise ValueError("a document is missing from its shard's index")
-                yield pd.DataFrame({
-                    "doc_id": pd.array(doc_ids, "Int64"),
-                    "copy": copies,
-                    "part": row.part,
-                    "inside": row.before + shard.starts[slots],
-                    "n_tokens": shard.lengths[slots],
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": row.doc_ids, "copy": row.copies, "part": [row.part] * len(slots),
+                    "inside": row.before + shard.starts[slots], "n_tokens": shard.lengths[slots],
                     "ids_crc32": [zlib.crc32(shard.ids(s).astype("<u4").tobytes()) for s in slots],
-                })
+                }, schema=schema)
 
-    read = to_python(stored).drop("first_id", "last_id", "n_ids", "shard").mapInPandas(documents, "doc_id long, copy int, part int, inside long, n_tokens long, ids_crc32 long")
+    needed = to_python(stored).drop("first_id", "last_id", "n_ids", "shard")
+    read = needed.mapInArrow(documents, "doc_id long, copy int, part int, inside long, n_tokens long, ids_crc32 long")
     starts = (F.col("part_start") + F.col("inside")).alias("start")
     return read.join(parts, "part").select("doc_id", starts, "n_tokens", "ids_crc32", "copy")
 
