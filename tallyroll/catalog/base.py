@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroll.operators.filters import split_windows
-from tallyroll.plans.dataset import prepare, preprocess
+from tallyroll.plans.dataset import prepare, preprocess, stage_receipts
 from tallyroll.sources import receipts, receipts_test
 
 
@@ -28,7 +28,8 @@ def prepared_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return split_windows(prepared(spark, sf_dir), prepared_test(spark, sf_dir))["train"]
+    """Staged, as features read the frames several times; the test file is not read."""
+    return split_windows(stage_receipts(receipts(spark, sf_dir)), prepared_test(spark, sf_dir))["train"]
 
 
 def label_frame(spark: SparkSession, sf_dir: str) -> DataFrame:

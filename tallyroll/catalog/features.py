@@ -15,10 +15,10 @@ from tallyroll.catalog.base import (
 from tallyroll.features import history as hist
 from tallyroll.features import label as lab
 from tallyroll.features import options as opt
-from tallyroll.operators.filters import WINDOWS, split_windows
+from tallyroll.operators.filters import WINDOWS
 from tallyroll.operators.relational import union_rows
 from tallyroll.plans.dataset import (
-    build_dataset, build_features, preprocess, stage_inputs, train_validate_test,
+    build_dataset, build_features, preprocess, train_validate_test,
 )
 from tallyroll.sources import receipts, receipts_test
 
@@ -66,7 +66,7 @@ def preprocess_query(spark, sf_dir):
 
 
 def _staged_train(spark, sf_dir):
-    frames = split_windows(*stage_inputs(receipts(spark, sf_dir), receipts_test(spark, sf_dir)))["train"]
+    frames = train_frames(spark, sf_dir)
     return build_features(frames["history"], frames["all_history"], frames["label"])
 
 

@@ -101,22 +101,27 @@ def build_dataset(features: DataFrame) -> DataFrame:
     return reorder(cast_int_cols(out, types), *KEYS, last=last).dropDuplicates()
 
 
-def stage_inputs(receipts: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Prepared receipts and test rows as staged tables.
+def stage_receipts(receipts: DataFrame) -> DataFrame:
+    """Prepared receipts as a staged table.
 
-    Nine window frames and many aggregates read them, each only its own columns
+    Nine window frames and many aggregates read it, each only its own columns
     and days. The files are sorted by day, without a shuffle, so that a window
     skips the pages of other days.
     """
-    rows = prepare(receipts).sortWithinPartitions("Date_received")
-    return stage(rows, "receipts"), stage(preprocess(test, has_outcome=False), "receipts-test")
+    return stage(prepare(receipts).sortWithinPartitions("Date_received"), "receipts")
+
+
+def stage_inputs(receipts: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Prepared receipts and test rows as staged tables."""
+    return stage_receipts(receipts), stage(preprocess(test, has_outcome=False), "receipts-test")
 
 
 def train_validate_test(
     receipts: DataFrame, test: DataFrame, names: Sequence[str] = ("train", "validate", "test")
 ) -> dict[str, DataFrame]:
-    """The three model tables, or those that are named."""
-    frames = split_windows(*stage_inputs(receipts, test))
+    """The three model tables, or those that are named; the test file is read for its own table only."""
+    staged = stage_inputs(receipts, test) if "test" in names else (stage_receipts(receipts), preprocess(test, has_outcome=False))
+    frames = split_windows(*staged)
     return {
         name: build_dataset(build_features(f["history"], f["all_history"], f["label"]))
         for name, f in frames.items() if name in names

@@ -1,5 +1,4 @@
 import datetime as dt
-from collections import Counter
 
 import numpy as np
 import pandas as pd
