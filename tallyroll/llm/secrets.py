@@ -49,17 +49,19 @@ BEGIN, INSIDE, OUTSIDE = range(3)
 BITS = 16
 #: The most documents that the field is fitted on: those with the smallest hash among documents with a window.
 MAX_DOCS = 3000
+#: The most features that are kept of one of them; all windows of an ordinary document have a few hundred.
+MAX_PARTS = 4000
 EPOCHS = 12
 
 Span = tuple[int, str, int]
 
 
 def base_spans(text: str) -> list[Span]:
-    """(start, kind, end) of the fixed patterns; for an assignment of its value."""
+    """(start, kind, end) of what the fixed patterns match; an assignment ends with its value."""
     spans: list[Span] = []
     low = text.lower()
     if any(word in low for word in _WORDS):
-        spans += [(m.start(2), "assign", m.end(2)) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
+        spans += [(m.start(), "assign", m.end()) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
     if "AKIA" in text:
         spans += [(m.start(), "access", m.end()) for m in _ACCESS.finditer(text)]
     if b"h" * 24 in text.encode("utf-8", "replace").translate(_HEX_BYTES):
@@ -67,6 +69,11 @@ def base_spans(text: str) -> list[Span]:
     return sorted(spans, key=_order)
 
 
+def secret_parts(text: str, spans: list[Span]) -> list[Span]:
+    """The spans without the names and signs that an assignment begins with."""
+    return [(_ASSIGN.match(text, start).start(2) if kind == "assign" else start, kind, end) for start, kind, end in spans]
+
+
 def _order(span: Span) -> tuple[int, int, int]:
     return span[0], KINDS.index(span[1]), span[2]
 
@@ -264,7 +271,7 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS) -> Field:
             rows = []
             for text, draw in zip(frame["text"], frame["draw"], strict=True):
                 if found := windows(text):
-                    spans = base_spans(text)
+                    spans = secret_parts(text, base_spans(text))
                     parts = []
                     for tokens, open_ in found:
                         tags = weak_tags(tokens, open_, spans)
@@ -275,7 +282,7 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS) -> Field:
     drawn = texts(docs).withColumn("draw", F.xxhash64("text"))
     # Only the documents with the smallest hashes come to the driver, from a text of any length at most a part.
     rows = map_texts(drawn, extract, "draw long, parts array<int>")
-    rows = rows.withColumn("parts", F.slice("parts", 1, 20_000)).orderBy("draw", "parts").limit(max_docs).collect()
+    rows = rows.withColumn("parts", F.slice("parts", 1, MAX_PARTS)).orderBy("draw", "parts").limit(max_docs).collect()
     samples = []
     for row in rows:
         width = 18
@@ -329,7 +336,10 @@ def scan(docs: DataFrame, field: Field) -> DataFrame:
 
 
 def redact(docs: DataFrame, field: Field, mark: str = "[secret]") -> DataFrame:
-    """``docs`` with every span of a text replaced by ``mark``; null texts stay null, and so do all other columns."""
+    """``docs`` with every secret of a text replaced by ``mark``, of an assignment the value.
+
+    Null texts stay null, and all other columns stay as they are.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(field)
     place = docs.columns.index("text")
 
@@ -337,7 +347,7 @@ def redact(docs: DataFrame, field: Field, mark: str = "[secret]") -> DataFrame:
         if not text:
             return text
         out, at = [], 0
-        for start, _, end in find(text, shared.value):
+        for start, _, end in sorted(secret_parts(text, find(text, shared.value))):
             if start >= at:
                 out += [text[at:start], mark]
             at = max(at, end)
