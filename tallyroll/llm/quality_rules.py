@@ -20,7 +20,8 @@ from tallyroll.runtime import stage
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-ITERATIONS = 30
+#: EM ends when no chance moves by more than this, or after so many rounds.
+TOLERANCE, MAX_ROUNDS = 1e-4, 40
 #: A rule starts as this reliable; the belief weighs as much as this share of its votes.
 START_ACCURACY, START_WEIGHT = 0.9, 0.5
 START_GOOD = 0.8
@@ -28,11 +29,10 @@ START_GOOD = 0.8
 RULES = ("length", "symbols", "capitals", "repeats", "lines", "sentences", "marks")
 
 
-def _covered(hashes: Column) -> Column:
-    """How many words stand in a window of three that occurs twice or more."""
+def _windows(hashes: Column) -> Column:
+    """A hash of every three words in a row; null if there are fewer than two windows."""
     last = F.size(hashes) - 3
-    windows = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
-        F.xxhash64(F.get(hashes, i), F.get(hashes, i + 1), F.get(hashes, i + 2)).alias("h"), i.alias("i")))
+    windows = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.get(hashes, i), F.get(hashes, i + 1), F.get(hashes, i + 2)))
     return F.when(last >= 1, windows)
 
 
@@ -45,9 +45,10 @@ def rule_stats(docs: DataFrame, out: str = "stats") -> DataFrame:
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
     step = docs.withColumn(words, F.when(trimmed == "", F.expr("array()").cast("array<bigint>")).otherwise(
         F.transform(F.split(trimmed, "[\\x20\\x09-\\x0D]+"), lambda w: F.xxhash64(w))))
-    step = step.withColumn(three, _covered(F.col(words)))
-    # Windows side by side with their equals; then the places of those that have one.
-    step = step.withColumn(twice, F.sort_array(three))
+    step = step.withColumn(three, _windows(F.col(words)))
+    # Windows side by side with their equals, where some are equal; then the places of those that are.
+    placed = F.transform(three, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    step = step.withColumn(twice, F.when(F.size(F.array_distinct(three)) < F.size(three), F.sort_array(placed)))
     step = step.withColumn(at, F.sort_array(F.transform(
         F.filter(
             F.transform(F.col(twice), lambda x, k: F.struct(
@@ -103,6 +104,9 @@ class LabelModel:
     given_good: tuple[tuple[float, float], ...]
     given_bad: tuple[tuple[float, float], ...]
 
+    def chances(self) -> list[float]:
+        return [self.good, *[x for own in (self.given_good, self.given_bad) for _, x in own]]
+
     def posterior(self, vote: list[Column]) -> Column:
         """Probability that a document with these votes is good; abstaining says nothing."""
         score = F.lit(math.log(self.good / (1 - self.good)))
@@ -111,7 +115,7 @@ class LabelModel:
         return 1 / (1 + F.exp(-score))
 
 
-def fit(patterns: DataFrame, n_rules: int = len(RULES), iterations: int = ITERATIONS) -> LabelModel:
+def fit(patterns: DataFrame, n_rules: int = len(RULES)) -> LabelModel:
     """EM over counted vote patterns: columns v0, v1, ... and n; at most 3 ** n_rules rows.
 
     Each rule has one chance to be right when it votes for a good document and one
@@ -119,9 +123,10 @@ def fit(patterns: DataFrame, n_rules: int = len(RULES), iterations: int = ITERAT
     holds the classes in place. With no documents the start is returned.
     """
     vote = [F.col(f"v{j}") for j in range(n_rules)]
+    patterns = patterns.coalesce(1)  # so few rows need no exchange
     start = (1 - START_ACCURACY, START_ACCURACY)
     model = LabelModel(START_GOOD, (start,) * n_rules, ((START_ACCURACY, 1 - START_ACCURACY),) * n_rules)
-    for _ in range(iterations):
+    for _ in range(MAX_ROUNDS):
         p, n = model.posterior(vote), F.col("n")
         sums = [F.sum(n).alias("n"), F.sum(n * p).alias("good")]
         for j, v in enumerate(vote):
@@ -138,11 +143,13 @@ def fit(patterns: DataFrame, n_rules: int = len(RULES), iterations: int = ITERAT
             share = (good + belief * prior) / (bad + good + belief)
             return 1 - share, share
 
-        model = LabelModel(
+        last, model = model, LabelModel(
             min(0.99, max(0.01, row["good"] / row["n"])),
             tuple(chance(row[f"bg{j}"], row[f"gg{j}"], START_ACCURACY) for j in range(n_rules)),
             tuple(chance(row[f"bb{j}"], row[f"gb{j}"], 1 - START_ACCURACY) for j in range(n_rules)),
         )
+        if max(abs(x - y) for x, y in zip(last.chances(), model.chances(), strict=True)) <= TOLERANCE:
+            break
     return model
 
 
