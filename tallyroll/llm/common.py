@@ -41,6 +41,17 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def about(rows: DataFrame, wanted: int, *keys: str) -> DataFrame:
+    """About ``wanted`` rows, drawn by a hash of ``keys``; all rows if there are no more.
+
+    A filter, so no task and not the driver has to put the draws of all tasks together.
+    """
+    total = rows.count()
+    if total <= wanted:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(*keys), F.lit(1 << 40)) < int(wanted / total * (1 << 40)))
+
+
 #: Whole numbers may be null and are not turned into doubles, which would round them.
 _WHOLE = {pa.int64(): pd.Int64Dtype()}.get
 

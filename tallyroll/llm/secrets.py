@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroll.llm.common import longs, map_texts, to_python, table, texts
+from tallyroll.llm.common import about, longs, map_texts, to_python, table, texts
 
 KINDS = ("assign", "access", "hex", "tagged")
 _ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -47,8 +47,8 @@ BEGIN, INSIDE, OUTSIDE = range(3)
 
 #: Features are hashed to this many bits.
 BITS = 16
-#: The most documents that the field is fitted on: those with the smallest hash among documents with a window.
-MAX_DOCS = 3000
+#: The field is fitted on at most so many documents with a window, out of about so many documents drawn by a hash.
+MAX_DOCS, DRAWN_DOCS = 3000, 50_000
 #: The most features that are kept of one of them; all windows of an ordinary document have a few hundred.
 MAX_PARTS = 4000
 EPOCHS = 12
@@ -279,8 +279,8 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS) -> Field:
                     rows.append((int(draw), np.array(parts, np.int32)))
             yield pd.DataFrame(rows, columns=["draw", "parts"])
 
-    drawn = texts(docs).withColumn("draw", F.xxhash64("text"))
-    # Only the documents with the smallest hashes come to the driver, from a text of any length at most a part.
+    drawn = about(texts(docs), DRAWN_DOCS, "doc_id", "text").withColumn("draw", F.xxhash64("text"))
+    # What comes to the driver has a bound: documents, and features of each.
     rows = map_texts(drawn, extract, "draw long, parts array<int>")
     rows = rows.withColumn("parts", F.slice("parts", 1, MAX_PARTS)).orderBy("draw", "parts").limit(max_docs).collect()
     samples = []
