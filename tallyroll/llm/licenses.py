@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroll.llm.common import table, texts
+from tallyroll.llm.common import about, table, texts
 from tallyroll.runtime import stage
 
 UNKNOWN = "unknown"
@@ -94,7 +94,7 @@ _TELLING_WORD = (
 _TELLING_TEXT = r"licen[cs]|copyright|warrant|redistribut|permission|permitted|software|spdx|gnu|gpl|apache|mit|bsd|cc|commons|mozilla|mpl|isc|domain|foundation"
 
 FEATURES = 1 << 13
-#: The most documents whose lines are examples of no licence: those with the smallest hash.
+#: About so many documents, drawn by a hash, give the lines that are examples of no licence.
 MAX_DOCS = 300
 #: The most words of a template in one example, and of a paragraph's word pairs that a template must hold.
 LEAST_WORDS, MOST_WORDS = 3, 30
@@ -137,7 +137,7 @@ def examples(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
     runs = runs.select("family", "words", "at", F.explode(F.sequence(F.lit(LEAST_WORDS), F.lit(MOST_WORDS))).alias("size"))
     runs = runs.where(F.col("at") + F.col("size") - 1 <= n).select("family", F.expr("slice(words, at, size)").alias("words"))
     whole = sentences.select("family", "words")
-    some = texts(docs).orderBy(F.xxhash64("text"), "doc_id").limit(max_docs)
+    some = about(texts(docs), max_docs, "doc_id", "text")
     lines = some.select(F.explode(F.split("text", "\n")).alias("line"))
     plain = lines.where(~F.lower("line").rlike(r"licen[cs]|copyright|public domain|spdx")).select(F.lit(UNKNOWN).alias("family"), F.slice(words_of(F.col("line")), 1, 60).alias("words"))
     return runs.union(whole).union(plain)
