@@ -15,12 +15,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroll.llm.common import longs, map_texts, table, texts
+from tallyroll.llm.common import about, longs, map_texts, table, texts
 from tallyroll.llm.hashing import mixed, segment_hashes
 
 #: n-grams are hashed to this many bits.
 BITS = 18
-#: The most labelled rows that the model is fitted on: those with the smallest hash of doc_id.
+#: The model is fitted on about so many labelled rows at most, drawn by a hash of doc_id.
 MAX_ROWS = 10_000
 PENALTY = 1.0
 EPOCHS = 15
@@ -174,15 +174,15 @@ def held_out() -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
-    """Fit on at most ``max_rows`` labelled rows that are not held out.
+    """Fit on about ``max_rows`` labelled rows at most that are not held out.
 
     Rows without a label of 0 or 1, and doc_ids with both, are not learned from. A
     null text is empty. Neither doc_id nor any other column than text is an input.
     """
     known = labels.where(~held_out() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(
         F.min("quality").alias("label"), F.max("quality").alias("other")).where("label = other")
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).select("doc_id", F.col("label").cast("int").alias("label"))
-    rows = texts(docs).join(F.broadcast(chosen), "doc_id")  # at most max_rows
+    chosen = about(known, max_rows, "doc_id").select("doc_id", F.col("label").cast("int").alias("label"))
+    rows = texts(docs).join(F.broadcast(chosen), "doc_id")  # about max_rows
 
     def extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
