@@ -1,8 +1,8 @@
 """Licence notices: a trained paragraph classifier, confirmed by comparison with templates.
 
-Paragraphs are lines. A paragraph without any of the words that every notice has is
-unknown by construction; only the others are classified. Features are n-grams of one to
-three words with a telling word in them. A multinomial logistic regression names the licence
+Paragraphs are lines. Features are n-grams of one to three words with a telling word
+in them, so a paragraph without a telling word has none and is unknown by construction;
+only the others are classified. A multinomial logistic regression names the licence
 family. Below a probability that is calibrated on rows set aside, the family is unknown.
 A named family is confirmed if the paragraph shares enough word pairs with one of the
 family's templates. All of it is DataFrame expressions and Spark's own model.
@@ -10,6 +10,7 @@ family's templates. All of it is DataFrame expressions and Spark's own model.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -88,17 +89,18 @@ OTHERS: tuple[str, ...] = (
     "Licence fees rose by three percent.", "A licensed electrician must do the work.", "The pub is licensed until midnight.",
 )
 
-_TELLING_WORD = (
-    r"^(un|sub)?licen[cs]\p{L}*$|^copyright\p{L}*$|^warrant\p{L}*$|^redistribut\p{L}*$|^permission$|^permitted$|^software$|^spdx$|^gnu$|^l?gpl$"
-    r"|^apache$|^mit$|^bsd$|^cc0?$|^commons$|^mozilla$|^mpl$|^isc$|^domain$|^foundation$"
+_TELLING = (
+    r"(?:un|sub)?licen[cs]\p{L}*|copyright\p{L}*|warrant\p{L}*|redistribut\p{L}*|permission|permitted|software|spdx|gnu|l?gpl"
+    r"|apache|mit|bsd|cc0?|commons|mozilla|mpl|isc|domain|foundation"
 )
-# What a notice cannot do without; words such as "mit" alone are too common to tell.
-_TELLING_TEXT = r"licen[cs]|copyright|warrant|redistribut|permission|permitted|spdx|\bgnu\b|gpl\b|\bcc[ -]by\b|\bcc0\b|public domain|\bapache\b|\bmozilla\b"
+_TELLING_WORD = f"^(?:{_TELLING})$"
+# Matches a line in lower case if, and only if, one of its words is telling.
+_TELLING_TEXT = rf"(?<![\p{{L}}\p{{N}}])(?:(?:{_TELLING})(?![\p{{L}}\p{{N}}])|l?gplv?\p{{N}})"
 
-# Parts of every match of the pattern above.
+# Every match of the pattern above holds one of them.
 _TELLING_STEMS = (
-    "licenc", "licens", "copyright", "warrant", "redistribut", "permission", "permitted", "spdx", "gnu", "gpl", "cc by", "cc-by", "cc0",
-    "public domain", "apache", "mozilla",
+    "licenc", "licens", "copyright", "warrant", "redistribut", "permission", "permitted", "software", "spdx", "gnu", "gpl",
+    "apache", "mit", "bsd", "cc", "commons", "mozilla", "mpl", "isc", "domain", "foundation",
 )
 
 FEATURES = 1 << 13
@@ -110,24 +112,39 @@ CONFIRM = 0.5
 PRECISION = 0.98
 
 
+def _once(value: Column, function: Callable[[Column], Column]) -> Column:
+    """``function`` of a value that is computed once, however often it is named and wherever a filter is moved to."""
+    return F.element_at(F.transform(F.array(value), function), 1)
+
+
 def words_of(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+    """Words in lower case; a version that is written onto gpl or lgpl is a word of its own."""
+    low = F.regexp_replace(F.lower(text), r"(?<![\p{L}\p{N}])(l?gpl)v?(?=\p{N})", "$1 ")
+    return F.array_remove(F.split(low, r"[^\p{L}\p{N}]+"), "")
 
 
 def _grams(words: Column) -> Column:
     """n-grams of one to three words that hold a telling word."""
 
-    def runs(n: int) -> Column:
-        every = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.slice(words, i, n))
-        return F.when(F.size(words) >= n, every).otherwise(F.expr("array()").cast("array<array<string>>"))
+    def runs(own: Column, places: Column, n: int) -> Column:
+        last = F.size(own) - n + 1
+        starts = F.flatten(F.transform(places, lambda p: F.sequence(F.greatest(p - n + 1, F.lit(1)), F.least(p, last))))
+        every = F.transform(F.array_distinct(starts), lambda i: F.array_join(F.slice(own, i, n), " "))
+        return F.when(last >= 1, every).otherwise(F.expr("array()").cast("array<string>"))
+
+    def all_runs(own: Column) -> Column:
+        places = F.array_compact(F.transform(own, lambda w, i: F.when(w.rlike(_TELLING_WORD), i + 1)))
+        return _once(places, lambda at: F.concat(runs(own, at, 1), runs(own, at, 2), runs(own, at, 3)))
 
-    telling = F.filter(F.concat(runs(1), runs(2), runs(3)), lambda g: F.exists(g, lambda w: w.rlike(_TELLING_WORD)))
-    return F.array_distinct(F.transform(telling, lambda g: F.array_join(g, " ")))
+    return F.array_distinct(_once(words, all_runs))
 
 
 def _pairs(words: Column) -> Column:
-    one = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.array_join(F.slice(words, i, 2), " "))
-    return F.when(F.size(words) >= 2, F.array_distinct(one)).otherwise(words)
+    def pairs(own: Column) -> Column:
+        one = F.transform(F.sequence(F.lit(1), F.size(own) - 1), lambda i: F.array_join(F.slice(own, i, 2), " "))
+        return F.when(F.size(own) >= 2, F.array_distinct(one)).otherwise(own)
+
+    return _once(words, pairs)
 
 
 def _sentences(spark: SparkSession) -> DataFrame:
@@ -160,11 +177,16 @@ class Classifier:
     def transform(self, grams: DataFrame) -> DataFrame:
         """Adds family, which may be unknown, and probability to rows with ``grams``."""
         scored = self.model.transform(HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features").transform(grams))
-        chance = F.slice(vector_to_array("probability"), 2, len(self.families) - 1)
-        scored = scored.withColumn("best", F.array_max(chance)).withColumn("place", F.array_position(chance, F.col("best")).cast("int"))
-        named = F.element_at(F.array(*[F.lit(x) for x in self.families[1:]]), F.col("place"))
-        family = F.when(F.col("best") >= self.threshold, named).otherwise(UNKNOWN)
-        return scored.withColumns({"family": family, "probability": F.col("best")}).drop("features", "rawPrediction", "prediction", "best", "place")
+        families = F.array(*[F.lit(x) for x in self.families[1:]])
+
+        def name(chance: Column) -> Column:
+            best = F.array_max(chance)
+            named = F.element_at(families, F.array_position(chance, best).cast("int"))
+            return F.struct(F.when(best >= self.threshold, named).otherwise(UNKNOWN).alias("family"), best.alias("probability"))
+
+        best = _once(F.slice(vector_to_array("probability"), 2, len(self.families) - 1), name)
+        scored = scored.withColumn("best", best).withColumns({"family": F.col("best.family"), "probability": F.col("best.probability")})
+        return scored.drop("features", "rawPrediction", "prediction", "best")
 
 
 def train(docs: DataFrame, max_docs: int = MAX_DOCS) -> Classifier:
@@ -182,7 +204,7 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS) -> Classifier:
                  .groupBy("grams").agg(one).select("family", "grams", label.cast("double").alias("label")), "license-examples")
     hashed = HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features").transform(rows)
     aside = F.pmod(F.xxhash64("grams"), F.lit(5)) == 4
-    learner = LogisticRegression(family="multinomial", regParam=1e-4, maxIter=30)
+    learner = LogisticRegression(family="multinomial", regParam=1e-4, maxIter=40)
     first = Classifier(families, learner.fit(hashed.where(~aside).coalesce(1)), 0.0)
     tried = first.transform(rows.where(aside).withColumnRenamed("family", "true_family"))
     steps = [0.5 + 0.02 * i for i in range(25)]
@@ -203,10 +225,10 @@ def find_licenses(docs: DataFrame, classifier: Classifier) -> DataFrame:
     Null and empty texts have none; repeated rows are searched alike; other columns are not read.
     """
     spark = docs.sparkSession
-    some = texts(docs).where(_holds_any(F.lower("text"), _TELLING_STEMS))
-    lines = some.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "paragraph"))
-    lines = lines.where(F.lower("paragraph").rlike(_TELLING_TEXT)).select("doc_id", "line", words_of(F.col("paragraph")).alias("words"))
-    lines = lines.withColumn("grams", _grams(F.col("words"))).where(F.size("grams") > 0)
+    lines = texts(docs).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "paragraph"))
+    # The plain search is much faster than the pattern, which it only goes before.
+    lines = lines.where(_holds_any(F.lower("paragraph"), _TELLING_STEMS)).where(F.lower("paragraph").rlike(_TELLING_TEXT))
+    lines = lines.select("doc_id", "line", words_of(F.col("paragraph")).alias("words")).withColumn("grams", _grams(F.col("words")))
     named = classifier.transform(lines).where(F.col("family") != UNKNOWN)
     templates = _sentences(spark).where(F.col("family") != UNKNOWN).groupBy("family").agg(F.collect_list(_pairs(F.col("words"))).alias("templates"))
     # One row per family.

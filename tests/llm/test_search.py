@@ -344,6 +344,33 @@ def test_licences_in_other_words(spark, classifier):
     assert got == {i: f for i, f in enumerate(lines) if f}
 
 
+def test_licences_without_the_word_licence(spark, classifier):
+    """Lines whose only telling words are names and common words are classified like any other."""
+    lines = [
+        ("Distributed under the BSD 3-Clause terms.", "bsd"), ("Available under MPL 2.0.", "mpl"),
+        ("Creative Commons Attribution 4.0 International", "cc-by"), ("GPL-3.0-or-later", "gpl"), ("GPLv3.0-or-later", "gpl"), ("LGPLv2.1-only", "lgpl"),
+    ]
+    docs = spark.createDataFrame([(i, f"first\n{t}\nlast") for i, (t, _) in enumerate(lines)], "doc_id long, text string")
+    got = {r.doc_id: (r.line, r.family) for r in licenses.find_licenses(docs, classifier).collect()}
+    assert got == {i: (1, f) for i, (_, f) in enumerate(lines)}
+
+
+def test_every_line_with_a_telling_word_is_classified(spark):
+    """The search before the classifier lets through what has grams, and nothing else."""
+    lines = ["MIT", "ISC", "mit_x11", "GPLv3", "LGPLv2.1", "gpl2", "the software", "domain: x", "Foundation", "cc", "CC0", "BSD-like", "MPL", "commons",
+             "sublicensed", "unlicense", "license2", "submitted", "account", "discuss", "gplx", "xgplv3", "éмит", "émit", "mité", "no such word", ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "doc_id long, text string")
+    seen = []
+
+    class All(licenses.Classifier):
+        def transform(self, grams):
+            seen.append({r.doc_id: r.grams for r in grams.collect()})
+            return grams.selectExpr("*", "'mit' AS family", "1D AS probability")
+
+    got = {r.doc_id for r in licenses.find_licenses(docs, All((), None, 0.0)).collect()}
+    assert got == set(range(17)) - {16} and set(seen[0]) == got and all(seen[0].values())
+
+
 def test_licences_edge(edge, empty, classifier):
     assert licenses.find_licenses(edge, classifier).where("confirmed").count() == 0
     assert licenses.find_licenses(empty, classifier).count() == 0
