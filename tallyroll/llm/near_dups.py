@@ -236,11 +236,12 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     while True:
         here = members.withColumn("label", F.col("node")) if labels is None else members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         # A bucket within one class has nothing left to find.
-        sizes = here.groupBy("bucket", "label").agg(F.count("*").alias("own"))
+        sizes = here.groupBy("bucket", "label").agg(F.count("*").alias("own"), F.max("fame").alias("class_fame"))
         parted = sizes.groupBy("bucket").agg(F.count("*").alias("parts"), (F.sum("own") - F.max("own")).alias("outside")).where("parts > 1")
         open_ = stage(here.join(sizes, ["bucket", "label"]).join(parted, "bucket"), "near-open")
-        # Small classes lead first: once all but the largest have, every pair across classes is covered.
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("own", F.desc("fame"), "node"))
+        # Small classes lead first, each as a whole, so of classes of the same size one is last too:
+        # once all but the last have led, every pair across classes is covered.
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("own", F.desc("class_fame"), "label", F.desc("fame"), "node"))
         leaders = open_.withColumn("place", rank).where(F.col("place") <= count)
         leaders = leaders.select("bucket", F.col("node").alias("b"), F.col("label").alias("b_label"), F.col("weight").alias("b_weight"))
         # Sums of weights bound the similarity from above.

@@ -156,6 +156,26 @@ def test_near_duplicates_edge(spark, edge, empty, edge_rows):
     assert near_dups.classes(empty).count() == 0 and near_dups.keep_one(empty).count() == 0
 
 
+@pytest.mark.parametrize("size", [32, 130])
+def test_classes_of_one_size_in_a_bucket(spark, monkeypatch, size):
+    """Two classes that tie for the largest of a bucket, linked by their least famous members only."""
+    words = prose(65, 200).split()
+
+    def replaced(*starts):
+        return " ".join(f"block{i}" if any(s <= i < s + 8 for s in starts) else w for i, w in enumerate(words))
+
+    rows = []
+    for letter, base, last in ((0, (), (40,)), (1, (40, 90, 140), (40, 90))):
+        rows += [(1000 * letter + i, _edited(replaced(*base), 1000 * letter + i, 1)) for i in range(size - 1)]
+        rows.append((1000 * letter + size - 1, replaced(*last)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sketch = near_dups.sketch
+    # All texts share bucket 1 and each class one of its own; all but the last of a class share one more.
+    more = f"array(1, 2 + doc_id div 1000, if(doc_id % 1000 = {size - 1}, 100 + doc_id, 4 + doc_id div 1000))"
+    monkeypatch.setattr(near_dups, "sketch", lambda *args: sketch(*args).selectExpr("doc_id", "text_hash", "node", "weight", f"cast({more} as array<bigint>) AS bands"))
+    assert {(r.class_id, r.class_rows) for r in near_dups.classes(docs).collect()} == {(0, 2 * size)}
+
+
 def test_samples_agree_as_often_as_texts_are_similar():
     weights = np.ones(1 << near_dups.BUCKET_BITS, np.float32)
     agreed, similar = [], []
