@@ -18,9 +18,6 @@ from tallyroll.sources import load_table, receipts, receipts_test
 
 _XY = ["x", "y"]
 _CENTROIDS = [(10.0, 2.0), (25.0, 5.0), (40.0, 8.0)]
-#: Rounds of the three fits of ``train_modes``. All of ``ROUNDS`` would be 2,900 rounds of several jobs
-#: each, about half an hour on the smallest tables; ``plans.model.train_modes`` runs them all by default.
-_MODE_ROUNDS = 20
 # Saved fits and model tables of a session, by what they were made from.
 _SAVED: dict[tuple, str] = {}
 
@@ -68,7 +65,7 @@ def train_modes(spark, sf_dir):
     train, validate = (_dataset(spark, sf_dir, n) for n in ("train", "validate"))
     parts = []
     for mode, watch in md.watched(train, validate).items():
-        model = _fitted(spark, sf_dir, mode, _MODE_ROUNDS)
+        model = _fitted(spark, sf_dir, mode, md.ROUNDS[mode])
         parts += [
             md.auc_eval(model, df).select(F.lit(mode).alias("mode"), F.lit(name).alias("watched"), "auc")
             for name, df in watch.items()
