@@ -311,7 +311,8 @@ def find(text: str, field: Field) -> list[Span]:
                 added.append((start, "tagged", end))
             elif tag == INSIDE:
                 added[-1] = (added[-1][0], "tagged", end)
-    added = [s for s in added if not any(b[0] < s[2] and s[0] < b[2] for b in base)]
+    # What lies within a pattern's span adds nothing; what reaches beyond it does.
+    added = [s for s in added if not any(b[0] <= s[0] and s[2] <= b[2] for b in base)]
     return sorted(base + added, key=_order)
 
 

@@ -322,6 +322,19 @@ def test_field_goes_beyond_the_patterns(field):
     assert [k for _, k, _ in secrets.find(text, field)] == ["tagged"]
 
 
+def test_tagged_spans_reach_beyond_the_patterns(spark):
+    """A secret that holds a hex run is cut out as a whole, and a span within that of a pattern adds nothing."""
+    emit = np.zeros((3, 1 << secrets.BITS), np.float32)
+    emit[secrets.BEGIN] = 1  # every token that may be tagged is
+    every = secrets.Field(emit, secrets._moves())
+    run = "0123456789abcdef01234567"
+    assert secrets.find(f"x {run}-XYZ y", every) == [(2, "hex", 26), (2, "tagged", 30)]
+    assert secrets.find(f"x Q_{run} y", every) == [(2, "tagged", 28), (4, "hex", 28)]
+    assert secrets.find(f"x {run} y", every) == [(2, "hex", 26)]
+    docs = spark.createDataFrame([(1, f"x Q_{run}-XYZ y")], "doc_id long, text string")
+    assert secrets.redact(docs, every).first().text == "x [secret] y"
+
+
 def test_secrets_edge(edge, empty, edge_rows):
     none = secrets.train(empty)
     rows = secrets.scan(edge, none).collect()
