@@ -92,4 +92,4 @@ def test_stages_on_odd_tables(spark, sf, edge, empty):
 def test_queries_are_registered():
     names = list(driver.queries())
     assert [n for n in names if n.startswith("op")] == list(catalog.QUERIES) and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 14))
