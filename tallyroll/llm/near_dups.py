@@ -4,11 +4,13 @@
 2. Improved consistent weighted sampling draws SAMPLES shingles of each text; two texts
    agree on a draw as often as their weighted Jaccard similarity says. Texts with equal
    shingles are one node from here on.
-3. Draws are banded; nodes that share a band are candidates. No bucket is turned into all
-   its pairs: its leader, the node that shares most bands with others, is compared with
-   the rest, and only nodes that are not yet in one class go on to further leaders.
+3. Draws are banded; nodes that share a band are candidates. Each node of a bucket is first
+   compared with one of them only, the one that shares most bands with others.
 4. A pair is a link if the weighted Jaccard similarity of the whole texts is 0.8 or more.
    A class is what links connect.
+5. Buckets that still hold more than one class are cut into chunks of bounded size, and
+   each two chunks are compared at once as matrices. No pair becomes a row: two chunks
+   return no more links than it takes to connect what they hold.
 """
 
 from __future__ import annotations
@@ -20,7 +22,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tallyroll.llm.common import free_name, longs, map_texts, to_python, table, texts
 from tallyroll.llm.hashing import mixed, shingles, word_hashes
@@ -35,8 +36,10 @@ BUCKET_BITS = 18
 #: Weight of a shingle that all documents have, against one of the rarest. Kept near 1, as the copies in
 #: a large group make what they share frequent and would otherwise drift apart by the size of their group.
 LEAST_WEIGHT = 0.85
-#: Leaders of a bucket in the second round; eight times as many in each round after it.
-LEADERS = 32
+#: Nodes in a chunk of a bucket, on average; two chunks are compared by one task at a time.
+CHUNK = 1024
+#: Shingles that more nodes of two chunks have than this are compared as a matrix, others pair by pair.
+DENSE = 16
 
 _DRAWS = 1 << 14
 
@@ -149,38 +152,149 @@ def sketch(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     return map_texts(hashed, draw, "doc_id long, text_hash long, node binary, weight double, bands array<long>")
 
 
+def node_vectors(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """node and shingles (with repeats, ascending, 8 bytes each) of the nodes in ``needed``, each from one of its texts."""
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            words, at = word_hashes(frame["text"].tolist())
+            grams, text = shingles(words, at, SHINGLE)
+            grams = grams[np.lexsort((grams, text))]
+            ends = np.searchsorted(text, np.arange(len(frame) + 1))
+            yield pd.DataFrame({"node": frame["node"], "shingles": [grams[i:j].tobytes() for i, j in zip(ends[:-1], ends[1:], strict=True)]})
+
+    same = F.col("doc_id").eqNullSafe(F.col("row_id")) & (F.col("text_hash") == F.col("row_hash"))
+    read = docs.withColumn("text_hash", F.xxhash64("text")).join(needed, same).select("node", "text").dropDuplicates(["node"])
+    return map_texts(read, cut, "node binary, shingles binary")
+
+
+def _weighted(shingle_bytes: bytes, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Items, one for each time that a shingle stands in the text, in ascending order, and their weights."""
+    grams = np.frombuffer(shingle_bytes, np.uint64)
+    weight = weights[(grams >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)].astype(np.float64)
+    first = np.searchsorted(grams, grams)
+    items = mixed(grams + (np.arange(len(grams)) - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), 7)
+    order = np.argsort(items)
+    return items[order], weight[order]
+
+
+def _similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Weighted Jaccard similarity; two texts without words are equal."""
+    (ga, wa), (gb, wb) = a, b
+    if not len(ga) or not len(gb):
+        return float(len(ga) == len(gb))
+    place = np.searchsorted(gb, ga)
+    place[place == len(gb)] = 0
+    common = wa[gb[place] == ga].sum()
+    return float(common / (wa.sum() + wb.sum() - common))
+
+
 def _similarities(pairs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """a, b and similarity of pairs with their texts."""
+    """a, b and similarity of pairs with their shingles."""
     shared = pairs.sparkSession.sparkContext.broadcast(weights)
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("similarity", pa.float64())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
-        held = 0
+        last: tuple[bytes, tuple] = (b"", ())
         for batch in batches:
             out = []
-            columns = [batch.column(x) for x in ("a", "b", "a_text", "b_text")]
-            for i in range(batch.num_rows):
-                a, b = columns[0][i].as_py(), columns[1][i].as_py()
-                for node, text in ((a, columns[2]), (b, columns[3])):
-                    if node not in kept:
-                        if held > 2_000_000:
-                            kept, held = {k: kept[k] for k in (a, b) if k in kept}, 0
-                        grams, weight, _ = vectors(word_hashes([text[i].as_py()]), shared.value)
-                        kept[node] = grams, weight
-                        held += len(grams)
-                (ga, wa), (gb, wb) = kept[a], kept[b]
-                place = np.searchsorted(gb, ga)
-                place[place == len(gb)] = 0
-                both = gb[place] == ga if len(gb) else np.zeros(len(ga), bool)
-                common = np.minimum(wa[both], wb[place[both]]).sum()
-                union = wa.sum() + wb.sum() - common
-                out.append(common / union if union else 1.0)
-            yield pa.RecordBatch.from_arrays([columns[0].cast(pa.binary()), columns[1].cast(pa.binary()), pa.array(out, pa.float64())], schema=schema)
+            for a, b, own, other in zip(*(batch.column(x).to_pylist() for x in ("a", "b", "a_shingles", "b_shingles")), strict=True):
+                if last[0] != b:  # rows come in the order of b
+                    last = b, _weighted(other, shared.value)
+                out.append(_similarity(_weighted(own, shared.value), last[1]))
+            yield pa.RecordBatch.from_arrays([batch.column("a").cast(pa.binary()), batch.column("b").cast(pa.binary()), pa.array(out, pa.float64())], schema=schema)
 
     return to_python(pairs).mapInArrow(compare, "a binary, b binary, similarity double")
 
 
+def common_weights(rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """How much each two rows of items and weights have in common, to about six digits."""
+    n = len(rows)
+    out = np.zeros((n, n), np.float32)
+    owner = np.repeat(np.arange(n), [len(g) for g, _ in rows])
+    items, weight = (np.concatenate([r[k] for r in rows]) for k in (0, 1))
+    order = np.lexsort((owner, items))
+    items, weight, owner = items[order], weight[order], owner[order]
+    new = np.flatnonzero(np.diff(items, prepend=items[:1] ^ np.uint64(1)))
+    counts = np.diff(new, append=len(items))
+    spread = np.repeat(counts, counts)
+    rare = (spread > 1) & (spread <= DENSE)
+    items_r, weight_r, owner_r = items[rare], weight[rare], owner[rare]
+    for step in range(1, DENSE):
+        same = np.flatnonzero(items_r[step:] == items_r[:-step])
+        if not len(same):
+            break
+        np.add.at(out, (owner_r[same], owner_r[same + step]), weight_r[same])
+    out += out.T
+    column = np.repeat(np.cumsum(counts > DENSE) - 1, counts)
+    often = spread > DENSE
+    column, weight, owner = column[often], np.sqrt(weight[often]), owner[often]
+    for start in range(0, int(column.max(initial=-1)) + 1, 2048):
+        here = (column >= start) & (column < start + 2048)
+        block = np.zeros((n, 2048), np.float32)
+        block[owner[here], column[here] - start] = weight[here]
+        out += block @ block.T
+    return out
+
+
+def chunk_links(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, side: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links across classes that connect all that links of these rows can connect.
+
+    Rows of one side are not compared with each other if there are two sides. As in
+    building a spanning tree, each class takes its closest row of another class, is
+    merged with its class if they are a link, and so on until none is left.
+    """
+    total = np.array([w.sum() for _, w in rows])
+    common = common_weights(rows)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        near = common / (total[:, None] + total - common)
+    near[~(near >= similarity - 1e-4)] = -1  # rounding; links are compared exactly
+    none = total == 0
+    near[np.ix_(none, none)] = 1
+    if (side != side[0]).any():
+        near[side[:, None] == side] = -1
+    label, out = np.unique(labels, return_inverse=True)[1].ravel(), []
+    while True:
+        near[label[:, None] == label] = -1
+        best = near.argmax(axis=1)
+        value = near[np.arange(len(rows)), best]
+        if value.max(initial=-1) < 0:
+            return out
+        for i in np.argsort(-value, kind="stable"):
+            j = best[i]
+            if value[i] < 0:
+                break
+            if label[i] == label[j]:
+                continue
+            if _similarity(rows[i], rows[j]) >= similarity:
+                out.append((int(i), int(j)))
+                label[label == label[j]] = label[i]
+            else:
+                near[i, j] = near[j, i] = -1
+
+
+def _open_links(members: DataFrame, labels: DataFrame | None, vectors: DataFrame, weights: np.ndarray, similarity: float) -> DataFrame:
+    """Links within buckets of more than one class and of three nodes or more (two are compared already)."""
+    shared = vectors.sparkSession.sparkContext.broadcast(weights)
+    here = members.select("bucket", "node")
+    here = here.withColumn("label", F.col("node")) if labels is None else here.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    parted = here.groupBy("bucket").agg(F.count(F.lit(1)).alias("own"), F.min("label").alias("least"), F.max("label").alias("most"))
+    parted = parted.where("own > 2 AND least <> most").select("bucket", F.ceil(F.col("own") / CHUNK).alias("chunks"))
+    open_ = here.join(parted, "bucket").withColumn("chunk", F.pmod(F.xxhash64("node", "bucket"), F.col("chunks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+    tiles = open_.withColumn("other", other).select("bucket", "node", "label", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def compare(key: tuple, group: pa.Table) -> pa.Table:
+        nodes, side = group.column("node").to_pylist(), group.column("chunk").to_numpy()
+        rows = [_weighted(x, shared.value) for x in group.column("shingles").to_pylist()]
+        found = chunk_links(rows, np.array(group.column("label").to_pylist(), object), side, similarity)
+        return pa.table({"a": [nodes[i] for i, _ in found], "b": [nodes[j] for _, j in found]}, schema=schema)
+
+    full = to_python(tiles.join(vectors, "node"))
+    return full.groupBy("bucket", "low", "high").applyInArrow(compare, "a binary, b binary").distinct()
+
+
 def connected(links: DataFrame) -> DataFrame:
     """node, label: nodes that links (a, b) connect have the same label, the smallest node among them."""
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -223,43 +337,28 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     drawn = stage(sketch(rows, weights), "near-sketches")
     nodes = drawn.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("row"), F.first("weight").alias("weight"), F.first("bands").alias("bands"))
     band = nodes.select("node", "weight", F.explode("bands").alias("bucket"))
-    crowd = band.groupBy("bucket").agg(F.count("*").alias("crowd")).where("crowd > 1")
-    members = stage(band.join(crowd, "bucket"), "near-members")
+    crowds = band.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("crowd"), F.bit_xor(F.xxhash64("node")).alias("one"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("two"))
+    # Of buckets with the same nodes, which near copies share over many bands, one is enough.
+    crowds = crowds.where("crowd > 1").groupBy("crowd", "one", "two").agg(F.min("bucket").alias("bucket"))
+    members = stage(band.join(crowds.select("bucket", "crowd"), "bucket"), "near-members")
     fame = members.groupBy("node").agg(F.sum("crowd").alias("fame"))
     members = stage(members.join(fame, "node").drop("crowd"), "near-members")
     needed = nodes.join(fame, "node", "left_semi").select("node", F.col("row.doc_id").alias("row_id"), F.col("row.text_hash").alias("row_hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("row_id")) & (F.col("text_hash") == F.col("row_hash"))
-    read = rows.withColumn("text_hash", F.xxhash64("text")).join(needed, same).select("node", "text").dropDuplicates(["node"])
-    bodies = stage(read, "near-texts")
-
-    labels, tested, count = None, None, 1
-    while True:
-        here = members.withColumn("label", F.col("node")) if labels is None else members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        # A bucket within one class has nothing left to find.
-        sizes = here.groupBy("bucket", "label").agg(F.count("*").alias("own"), F.max("fame").alias("class_fame"))
-        parted = sizes.groupBy("bucket").agg(F.count("*").alias("parts"), (F.sum("own") - F.max("own")).alias("outside")).where("parts > 1")
-        open_ = stage(here.join(sizes, ["bucket", "label"]).join(parted, "bucket"), "near-open")
-        # Small classes lead first, each as a whole, so of classes of the same size one is last too:
-        # once all but the last have led, every pair across classes is covered.
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("own", F.desc("class_fame"), "label", F.desc("fame"), "node"))
-        leaders = open_.withColumn("place", rank).where(F.col("place") <= count)
-        leaders = leaders.select("bucket", F.col("node").alias("b"), F.col("label").alias("b_label"), F.col("weight").alias("b_weight"))
-        # Sums of weights bound the similarity from above.
-        near = F.least("weight", "b_weight") >= similarity * F.greatest("weight", "b_weight") - 1e-6
-        pairs = open_.join(leaders, "bucket").where((F.col("label") != F.col("b_label")) & near)
-        pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "near-pairs")
-        first = pairs.join(bodies.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
-        full = first.join(bodies.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
-        links = stage(_similarities(full, weights), "near-similarities").where(F.col("similarity") >= similarity).select("a", "b")
-        tested = pairs if tested is None else tested.union(pairs)
-        if links.limit(1).count():
-            labels = _joined(labels, links)
-        if not open_.where(F.col("outside") > count).limit(1).count():
-            break
-        count = LEADERS if count == 1 else 8 * count
+    vectors = stage(node_vectors(rows, needed), "near-vectors")
+
+    leader = members.groupBy("bucket").agg(F.max(F.struct("fame", "node", "weight")).alias("leader"))
+    # Sums of weights bound the similarity from above.
+    near = F.least("weight", "leader.weight") >= similarity * F.greatest("weight", "leader.weight") - 1e-6
+    pairs = members.join(leader, "bucket").where((F.col("node") != F.col("leader.node")) & near)
+    pairs = stage(pairs.select(F.col("node").alias("a"), F.col("leader.node").alias("b")).distinct(), "near-pairs")
+    full = pairs.join(vectors.withColumnsRenamed({"node": "a", "shingles": "a_shingles"}), "a")
+    full = full.join(vectors.withColumnsRenamed({"node": "b", "shingles": "b_shingles"}), "b")
+    links = stage(_similarities(full, weights), "near-similarities").where(F.col("similarity") >= similarity).select("a", "b")
+    labels = _joined(None, links) if links.limit(1).count() else None
+    further = stage(_open_links(members, labels, vectors, weights, similarity), "near-links")
+    if further.limit(1).count():
+        labels = _joined(labels, further)
     named = drawn.join(labels, "node", "left") if labels is not None else drawn.withColumn("label", F.col("node"))
     named = named.withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_rows"))

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from tallyroll.llm import decontaminate, licenses, near_dups, repeats, secrets, token_counts
 from tallyroll.llm.tokens import public_path
@@ -176,6 +177,59 @@ def test_classes_of_one_size_in_a_bucket(spark, monkeypatch, size):
     assert {(r.class_id, r.class_rows) for r in near_dups.classes(docs).collect()} == {(0, 2 * size)}
 
 
+@pytest.mark.parametrize("chunk", [1024, 24])
+def test_one_bucket_of_near_misses(spark, monkeypatch, chunk):
+    """Many texts around the threshold in one bucket, cut into chunks or not: the classes are those of all pairs."""
+    monkeypatch.setattr(near_dups, "CHUNK", chunk)
+    base = prose(66, 160)
+    rows = [(i, _edited(base, i, 1 + i % 9)) for i in range(150)] + [(200 + i, prose(300 + i, 60)) for i in range(20)] + [(300 + i, "two words") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sketch = near_dups.sketch
+    monkeypatch.setattr(near_dups, "sketch", lambda *args: sketch(*args).withColumn("bands", F.expr("cast(array(1) as array<bigint>)")))
+    found = near_dups.classes(docs).collect()
+    groups = _classes(rows, near_dups.bucket_weights(near_dups.texts(docs)))
+    _same(found, rows, groups)
+    assert 20 < len(groups) < 150 and max(map(len, groups)) > 30
+
+
+@pytest.mark.parametrize("dense", [1, 4, 16, 1000])
+def test_what_chunks_have_in_common(monkeypatch, dense):
+    monkeypatch.setattr(near_dups, "DENSE", dense)
+    draw = random.Random(4)
+    rows = [{draw.randrange(1, 1 + 4**draw.randrange(1, 6)): draw.random() for _ in range(draw.randrange(40))} for _ in range(60)]
+    weight = {g: w for r in rows for g, w in r.items()}
+    arrays = [(np.array(sorted(r), np.uint64), np.array([weight[g] for g in sorted(r)])) for r in rows]
+    got = near_dups.common_weights(arrays)
+    want = np.array([[sum(weight[g] for g in a.keys() & b.keys()) for b in rows] for a in rows])
+    off = ~np.eye(len(rows), dtype=bool)
+    assert got[off] == pytest.approx(want[off], abs=1e-4)
+
+
+def test_recall_over_a_whole_table(spark):
+    """Every 50th document against all 10,000, pair by pair."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    weights = near_dups.bucket_weights(near_dups.texts(docs))
+    found = {r.doc_id: r.class_id for r in near_dups.classes(docs).collect()}
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    words, at = near_dups.word_hashes([t or "" for _, t in rows])
+    grams, owner = near_dups.shingles(words, at, near_dups.SHINGLE)
+    vectors = [near_dups._weighted(np.sort(g).tobytes(), weights) for g in np.split(grams, np.searchsorted(owner, np.arange(1, len(rows))))]
+    items, weight = (np.concatenate([v[k] for v in vectors]) for k in (0, 1))
+    owner = np.repeat(np.arange(len(rows)), [len(v[0]) for v in vectors])
+    total = np.bincount(owner, weight, len(rows))
+    links = caught = 0
+    for i, (doc_id, text) in enumerate(rows):
+        if doc_id % 50:
+            continue
+        has = np.isin(items, vectors[i][0])
+        common = np.bincount(owner[has], weight[has], len(rows))
+        for j in np.flatnonzero(common >= near_dups.SIMILARITY * (total[i] + total - common) - 1e-9):
+            if rows[j][1] != text:
+                links += 1
+                caught += found[rows[j][0]] == found[doc_id]
+    assert links > 10 and caught >= 0.9 * links, (links, caught)
+
+
 def test_samples_agree_as_often_as_texts_are_similar():
     weights = np.ones(1 << near_dups.BUCKET_BITS, np.float32)
     agreed, similar = [], []
