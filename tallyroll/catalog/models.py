@@ -22,6 +22,14 @@ _CENTROIDS = [(10.0, 2.0), (25.0, 5.0), (40.0, 8.0)]
 _SAVED: dict[tuple, str] = {}
 
 
+def _there(spark, key):
+    """Whether what was saved under ``key`` is still in the shared folder."""
+    if key not in _SAVED:
+        return False
+    path = spark._jvm.org.apache.hadoop.fs.Path(_SAVED[key])
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def points(spark, sf_dir):
     """Line items as points (quantity, discount in percent)."""
     items = load_table(spark, sf_dir, "lineitem")
@@ -35,41 +43,51 @@ def _assigned(spark, sf_dir):
 def _dataset(spark, sf_dir, name):
     """A model table, made and written once for all queries that read it."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _SAVED:
-        _SAVED[key] = path = new_path(spark, f"dataset-{name}")
+    if not _there(spark, key):
+        path = new_path(spark, f"dataset-{name}")
         train_validate_test(receipts(spark, sf_dir), receipts_test(spark, sf_dir), [name])[name].write.parquet(path)
+        _SAVED[key] = path
     return spark.read.parquet(_SAVED[key])
 
 
-def _fitted(spark, sf_dir, mode, rounds):
-    """A fit that the queries share; trained once with all its rounds, and saved."""
-    key = (spark.sparkContext.applicationId, sf_dir, mode, rounds)
-    if key not in _SAVED:
-        names = {"offline": ["train"], "full": ["train", "validate"], "swapped": ["validate"]}[mode]
-        rows = reduce(union_rows, [_dataset(spark, sf_dir, n) for n in names])
-        path = new_path(spark, f"fit-{mode}")
-        md.train_boosted_trees(rows, rounds).write().save(path)
-        _SAVED[key] = path
-    return PipelineModel.load(_SAVED[key])
+def _fitted(spark, sf_dir, modes):
+    """Fits that the queries share; trained once with all their rounds, side by side, and saved."""
+    keys = {mode: (spark.sparkContext.applicationId, sf_dir, mode, md.ROUNDS[mode]) for mode in modes}
+    missing = {mode: md.ROUNDS[mode] for mode, key in keys.items() if not _there(spark, key)}
+    if missing:
+        train, validate = (_dataset(spark, sf_dir, n) for n in ("train", "validate"))
+        for mode, model in md.train_all_modes(train, validate, missing).items():
+            path = new_path(spark, f"fit-{mode}")
+            model.write().save(path)
+            _SAVED[keys[mode]] = path
+    return {mode: PipelineModel.load(_SAVED[key]) for mode, key in keys.items()}
 
 
 def _offline(spark, sf_dir):
-    return _fitted(spark, sf_dir, "offline", md.ROUNDS["offline"])
+    return _fitted(spark, sf_dir, ["offline"])["offline"]
 
 
 def train_boosted_trees(spark, sf_dir):
     return md.auc_eval(_offline(spark, sf_dir), _dataset(spark, sf_dir, "train"))
 
 
+def _modes(spark, sf_dir):
+    """(mode, its model, the sets it is watched on) of all modes."""
+    models = _fitted(spark, sf_dir, list(md.ROUNDS))
+    watch = md.watched(*(_dataset(spark, sf_dir, n) for n in ("train", "validate")))
+    return [(mode, models[mode], watch[mode]) for mode in md.ROUNDS]
+
+
 def train_modes(spark, sf_dir):
-    train, validate = (_dataset(spark, sf_dir, n) for n in ("train", "validate"))
-    parts = []
-    for mode, watch in md.watched(train, validate).items():
-        model = _fitted(spark, sf_dir, mode, md.ROUNDS[mode])
-        parts += [
-            md.auc_eval(model, df).select(F.lit(mode).alias("mode"), F.lit(name).alias("watched"), "auc")
-            for name, df in watch.items()
-        ]
+    parts = [
+        md.auc_eval(model, df).select(F.lit(mode).alias("mode"), F.lit(name).alias("watched"), "auc")
+        for mode, model, watch in _modes(spark, sf_dir) for name, df in watch.items()
+    ]
+    return reduce(union_rows, parts)
+
+
+def auc_by_round(spark, sf_dir):
+    parts = [md.auc_by_round(model, watch).select(F.lit(mode).alias("mode"), "*") for mode, model, watch in _modes(spark, sf_dir)]
     return reduce(union_rows, parts)
 
 
@@ -112,6 +130,7 @@ def _far_sql(n: int) -> str:
 QUERIES = {
     "train_boosted_trees": Query(train_boosted_trees),
     "train_modes": Query(train_modes),
+    "auc_by_round": Query(auc_by_round),
     "class_weight": Query(class_weight, sql("""
 SELECT label, count(*) AS n, CAST(sum(CASE WHEN label = 1 THEN 26 ELSE 1 END) AS DOUBLE) AS weight
 FROM prep GROUP BY label""")),

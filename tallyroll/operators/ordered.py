@@ -35,14 +35,16 @@ def range_parts(df: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def running_counts(
-    df: DataFrame, keys: Sequence[str], value: str, *extra: Column, wide: bool = False
+    df: DataFrame, keys: Sequence[str], value: str, *extra: Column, wide: bool = False, rows: str | None = None
 ) -> DataFrame:
     """One row per (keys, value): ``n`` rows, ``before`` rows of the key with a
     smaller value, ``total`` rows of the key. Null keys and values are left out.
-    The wide form also has ``_part``, the number of the row's range.
+    The wide form also has ``_part``, the number of the row's range. Where ``df`` is
+    counted already, the column ``rows`` says how many rows each of its rows stands for.
     """
     keys = list(keys)
-    counts = group_agg(df, [*keys, value], F.count("*").alias("n"), *extra)
+    counted = F.count("*") if rows is None else F.sum(rows)
+    counts = group_agg(df, [*keys, value], counted.alias("n"), *extra)
 
     def summed(rows: DataFrame, group: Sequence[str]) -> DataFrame:
         ordered = W.partitionBy(*group).orderBy(value)
