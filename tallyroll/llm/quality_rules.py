@@ -1,9 +1,9 @@
 """Quality rules as weak supervision.
 
 Rules vote for good (1) or bad (-1) or abstain (0). Expectation-maximisation over
-the vote patterns of all documents estimates how far each rule can be trusted and
-how many documents are good; the posterior of a document's pattern decides. All of
-it is built-in Spark expressions.
+the vote patterns of all documents estimates how often each rule votes each way among
+good and among bad documents, abstaining included, and how many documents are good; the
+posterior of a document's pattern decides. All of it is built-in Spark expressions.
 """
 
 from __future__ import annotations
@@ -22,9 +22,8 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: EM ends when no chance moves by more than this, or after so many rounds.
 TOLERANCE, MAX_ROUNDS = 1e-4, 40
-#: A rule starts as this reliable; the belief weighs as much as this share of its votes.
-START_ACCURACY, START_WEIGHT = 0.9, 0.5
-START_GOOD = 0.8
+#: A rule starts as this reliable, and so many documents as good; what it starts from then weighs as much as so many documents.
+START_ACCURACY, START_GOOD, START_DOCS = 0.9, 0.8, 3
 
 RULES = ("length", "symbols", "capitals", "repeats", "lines", "sentences", "marks")
 
@@ -98,56 +97,63 @@ def votes(s: Column) -> list[Column]:
 
 @dataclass(frozen=True)
 class LabelModel:
-    """Share of good documents; for each rule the chance of its votes (bad, good) among good and among bad documents."""
+    """Share of good documents; for each rule the chance that it votes bad, abstains and votes good, among good and among bad documents."""
 
     good: float
-    given_good: tuple[tuple[float, float], ...]
-    given_bad: tuple[tuple[float, float], ...]
+    given_good: tuple[tuple[float, float, float], ...]
+    given_bad: tuple[tuple[float, float, float], ...]
 
     def chances(self) -> list[float]:
-        return [self.good, *[x for own in (self.given_good, self.given_bad) for _, x in own]]
+        return [self.good, *[x for own in (self.given_good, self.given_bad) for rule in own for x in rule]]
 
     def posterior(self, vote: list[Column]) -> Column:
-        """Probability that a document with these votes is good; abstaining says nothing."""
+        """Probability that a document with these votes is good; abstaining counts for what it says, too."""
         score = F.lit(math.log(self.good / (1 - self.good)))
-        for v, (bad_g, good_g), (bad_b, good_b) in zip(vote, self.given_good, self.given_bad, strict=True):
-            score = score + F.when(v == -1, math.log(bad_g / bad_b)).when(v == 1, math.log(good_g / good_b)).otherwise(0.0)
+        for v, good, bad in zip(vote, self.given_good, self.given_bad, strict=True):
+            weight = [math.log(g / b) for g, b in zip(good, bad, strict=True)]
+            score = score + F.when(v == -1, weight[0]).when(v == 1, weight[2]).otherwise(weight[1])
         return 1 / (1 + F.exp(-score))
 
 
+def _shares(counts: list[float], belief: tuple[float, float, float], docs: float) -> tuple[float, float, float]:
+    total = sum(counts) + docs
+    return tuple((c + docs * b) / total for c, b in zip(counts, belief, strict=True))
+
+
 def fit(patterns: DataFrame, n_rules: int = len(RULES)) -> LabelModel:
     """EM over counted vote patterns: columns v0, v1, ... and n; at most 3 ** n_rules rows.
 
-    Each rule has one chance to be right when it votes for a good document and one
-    for a bad one. A belief of START_ACCURACY, worth START_WEIGHT of a rule's votes,
-    holds the classes in place. With no documents the start is returned.
+    For each rule and class the chances of all three outcomes are estimated, so a rule
+    that only ever votes bad is learned like any other. Only the start says which class
+    is the good one: there, a vote is right with START_ACCURACY. It weighs no more than
+    START_DOCS documents after that, so a rule that votes the wrong way is found out.
+    With no documents the start is returned.
     """
     vote = [F.col(f"v{j}") for j in range(n_rules)]
     patterns = patterns.coalesce(1)  # so few rows need no exchange
-    start = (1 - START_ACCURACY, START_ACCURACY)
-    model = LabelModel(START_GOOD, (start,) * n_rules, ((START_ACCURACY, 1 - START_ACCURACY),) * n_rules)
+    n = F.col("n")
+
+    def counts(weight: Column, name: str) -> list[Column]:
+        return [F.coalesce(F.sum(F.when(v == way, weight)), F.lit(0.0)).alias(f"{name}{j}_{way + 1}") for j, v in enumerate(vote) for way in (-1, 0, 1)]
+
+    row = patterns.agg(F.coalesce(F.sum(n), F.lit(0)).alias("n"), *counts(n * F.lit(1.0), "all")).first()
+    beliefs: tuple[list, list] = ([], [])
+    for j in range(n_rules):
+        bad, none, good = _shares([row[f"all{j}_{k}"] for k in range(3)], (1 / 3, 1 / 3, 1 / 3), 3)
+        for own, right in zip(beliefs, (False, True), strict=True):  # among good ones a vote for bad is wrong
+            split = (bad * (START_ACCURACY if right else 1 - START_ACCURACY), none, good * (1 - START_ACCURACY if right else START_ACCURACY))
+            own.append(tuple(x / sum(split) for x in split))
+    model = LabelModel(START_GOOD, tuple(beliefs[0]), tuple(beliefs[1]))
+    if not row["n"]:
+        return model
     for _ in range(MAX_ROUNDS):
-        p, n = model.posterior(vote), F.col("n")
-        sums = [F.sum(n).alias("n"), F.sum(n * p).alias("good")]
-        for j, v in enumerate(vote):
-            sums += [F.sum(F.when(v == way, n * q)).alias(f"{name}{j}") for way, q, name in (
-                (-1, p, "bg"), (1, p, "gg"), (-1, 1 - p, "bb"), (1, 1 - p, "gb"))]
-        row = patterns.agg(*sums).first()
-        if not row["n"]:
-            return model
-
-        def chance(bad: float | None, good: float | None, prior: float) -> tuple[float, float]:
-            """The chance of a bad and of a good vote, when the rule votes."""
-            bad, good = bad or 0.0, good or 0.0
-            belief = START_WEIGHT * (bad + good) + 1
-            share = (good + belief * prior) / (bad + good + belief)
-            return 1 - share, share
-
-        last, model = model, LabelModel(
-            min(0.99, max(0.01, row["good"] / row["n"])),
-            tuple(chance(row[f"bg{j}"], row[f"gg{j}"], START_ACCURACY) for j in range(n_rules)),
-            tuple(chance(row[f"bb{j}"], row[f"gb{j}"], 1 - START_ACCURACY) for j in range(n_rules)),
-        )
+        p = model.posterior(vote)
+        row = patterns.agg(F.sum(n).alias("n"), F.sum(n * p).alias("good"), *counts(n * p, "g"), *counts(n * (1 - p), "b")).first()
+
+        def learned(name: str, belief: list, row=row) -> tuple:
+            return tuple(_shares([row[f"{name}{j}_{k}"] for k in range(3)], belief[j], START_DOCS) for j in range(n_rules))
+
+        last, model = model, LabelModel(min(0.99, max(0.01, row["good"] / row["n"])), learned("g", beliefs[0]), learned("b", beliefs[1]))
         if max(abs(x - y) for x, y in zip(last.chances(), model.chances(), strict=True)) <= TOLERANCE:
             break
     return model

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tallyroll.llm import quality_model, quality_rules
@@ -41,28 +42,91 @@ def test_counts_of_repeats(spark):
         assert (r.s.n_words, r.s.word_chars, r.s.n_symbols, r.s.n_dup_lines, r.s.n_repeat_words) == _counts(texts[r.doc_id])
 
 
-def test_fit_is_expectation_maximisation(spark):
-    draw = np.random.default_rng(1)
-    good = draw.random(4000) < 0.7
-    votes = np.stack([np.where(draw.random(4000) < 0.4, 0, np.where(good == (draw.random(4000) < a), 1, -1)) for a in (0.9, 0.8, 0.85, 0.7)], axis=1)
+def _patterns(spark, votes):
     counted = Counter(map(tuple, votes.tolist()))
-    patterns = spark.createDataFrame([(*k, n) for k, n in counted.items()], "v0 int, v1 int, v2 int, v3 int, n long")
-    model = quality_rules.fit(patterns, 4)
-    # The same in numpy, over all rows.
-    start = quality_rules.START_ACCURACY
-    pi, g, b = quality_rules.START_GOOD, np.full(4, start), np.full(4, 1 - start)
-    for _ in range(200):
-        score = np.log(pi / (1 - pi)) + (np.where(votes == 1, np.log(g / b), 0) + np.where(votes == -1, np.log((1 - g) / (1 - b)), 0)).sum(axis=1)
+    names = ", ".join(f"v{j} int" for j in range(votes.shape[1]))
+    return spark.createDataFrame([(*k, n) for k, n in counted.items()], f"{names}, n long")
+
+
+def _cast(draw, good, given_good, given_bad):
+    """Votes of one rule: chances of bad, abstain and good among good and among bad documents."""
+    edges = np.where(good[:, None], np.cumsum(given_good)[:2], np.cumsum(given_bad)[:2])
+    return (draw.random(len(good))[:, None] > edges).sum(axis=1) - 1
+
+
+#: Rules that vote both ways, only bad, only bad and rarely, and one that votes bad on good documents.
+_GIVEN = [
+    ((0.05, 0.25, 0.70), (0.65, 0.30, 0.05)), ((0.02, 0.98, 0.0), (0.40, 0.60, 0.0)), ((0.01, 0.99, 0.0), (0.15, 0.85, 0.0)),
+    ((0.10, 0.10, 0.80), (0.75, 0.20, 0.05)), ((0.30, 0.70, 0.0), (0.05, 0.95, 0.0)), ((0.20, 0.80, 0.0), (0.20, 0.80, 0.0)),
+]
+
+
+def _em(votes, docs, rounds=300):
+    """Expectation-maximisation over all rows, in numpy: chances of the outcomes of each rule and class, and the posterior."""
+    size = len(votes)
+    hot = np.stack([votes == way for way in (-1, 0, 1)], axis=2).astype(float)
+    rates = (hot.sum(axis=0) + 1) / (size + 3)
+    a = quality_rules.START_ACCURACY
+    start = np.stack([rates * [1 - a, 1, a], rates * [a, 1, 1 - a]])
+    start /= start.sum(axis=2, keepdims=True)
+    share, table = quality_rules.START_GOOD, start.copy()
+    for _ in range(rounds):
+        score = np.log(share / (1 - share)) + (hot * np.log(table[0] / table[1])).sum(axis=(1, 2))
         p = 1 / (1 + np.exp(-score))
-        pi = p.mean()
-        for j in range(4):
-            for table, q, prior in ((g, p, start), (b, 1 - p, 1 - start)):
-                bad, yes = q[votes[:, j] == -1].sum(), q[votes[:, j] == 1].sum()
-                belief = quality_rules.START_WEIGHT * (bad + yes) + 1
-                table[j] = (yes + belief * prior) / (bad + yes + belief)
-    assert abs(model.good - pi) < 2e-3
-    np.testing.assert_allclose([x[1] for x in model.given_good], g, atol=2e-3)
-    assert ((p >= 0.5) == good).mean() > 0.8
+        share = p.mean()
+        table = np.stack([((hot * q[:, None, None]).sum(axis=0) + docs * s) / (q.sum() + docs) for q, s in zip((p, 1 - p), start)])
+    return share, table, p
+
+
+def test_fit_is_expectation_maximisation(spark):
+    draw = np.random.default_rng(1)
+    good = draw.random(20_000) < 0.8
+    votes = np.stack([_cast(draw, good, *given) for given in _GIVEN], axis=1)
+    model = quality_rules.fit(_patterns(spark, votes), len(_GIVEN))
+    share, table, p = _em(votes, quality_rules.START_DOCS)
+    assert model.good == pytest.approx(share, abs=5e-3)
+    np.testing.assert_allclose([model.given_good, model.given_bad], table, atol=5e-3)
+    # What was planted is found again, one-sided rules included.
+    assert model.good == pytest.approx(good.mean(), abs=0.03)
+    for found, want in zip((model.given_good, model.given_bad), zip(*_GIVEN)):
+        np.testing.assert_allclose(found, want, atol=0.03)
+    weight = [np.log(g[0] / b[0]) for g, b in zip(model.given_good, model.given_bad)]
+    assert weight[4] > 1  # a vote for bad by the rule that is wrong speaks for good
+    assert abs(weight[5]) < 0.3  # and one by the rule that knows nothing says next to nothing
+    assert ((p >= 0.5) == good).mean() > 0.93
+
+
+def test_a_wrong_rule_among_the_documents(spark):
+    """Over real votes, a rule that votes bad exactly where ``marks`` votes good gets no weight against them."""
+    docs = quality_rules.rule_stats(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), "s")
+    vote = quality_rules.votes(F.col("s"))
+    own = docs.select(*[v.alias(f"v{j}") for j, v in enumerate(vote)])
+    wrong = own.withColumn("v7", F.when(F.col("v6") == 1, -1).otherwise(0)).groupBy(*[f"v{j}" for j in range(8)]).agg(F.count("*").alias("n"))
+    model = quality_rules.fit(wrong, 8)
+    assert model.given_good[7][0] > 0.9 and model.given_bad[7][0] < 0.2
+    for j in range(5):  # the rules that only vote bad
+        assert model.given_bad[j][0] > 5 * model.given_good[j][0]
+
+
+def test_verdicts_of_a_table(spark, sf):
+    """``kept`` and ``p_good`` by an independent EM over the rows of the query."""
+    rows = quality_rules.op8_quality_rules(spark, sf).collect()
+    stats = quality_rules.rule_stats(spark.read.parquet(f"{sf}/documents.parquet"), "s")
+    votes = np.array([list(r) for r in stats.orderBy("doc_id").select(*quality_rules.votes(F.col("s"))).collect()])
+    _, _, p = _em(votes, quality_rules.START_DOCS)
+    for r, want in zip(sorted(rows, key=lambda r: r.doc_id), p):
+        assert r.p_good == pytest.approx(want, abs=2e-2)
+        assert r.kept == (not r.base_failed and r.p_good >= 0.5)
+
+
+def test_labelled_documents(spark):
+    """No label is read, yet bad documents go and good ones that pass the base stay."""
+    found = quality_rules.op8_quality_rules(spark, "/root/testdata/sf0.01")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "quality")
+    rows = found.join(labels, "doc_id").collect()
+    assert sum(r.kept for r in rows if r.quality == 0) <= 0.02 * sum(r.quality == 0 for r in rows)
+    passed = [r for r in rows if r.quality == 1 and not r.base_failed]
+    assert sum(r.kept for r in passed) >= 0.98 * len(passed)
 
 
 def test_rules_edge(edge, empty, edge_rows):
