@@ -52,7 +52,8 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
 def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """Each document's ids, with the end id, cut every ``sequence`` ids.
 
-    ``draw`` is a hash of the row, by which documents are dealt to groups. A null text
+    ``draw`` is a hash of the row and its place, by which documents are dealt to groups, so
+    equal rows are spread like any others. A null text
     is empty and gives the end id alone; a null doc_id is kept; repeated rows are
     documents of their own.
     """
@@ -72,14 +73,14 @@ def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int = E
                     rows.append((*row, piece.astype(np.int32)) if with_ids else row)
             yield pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
 
-    drawn = texts(docs).withColumn("draw", F.xxhash64("doc_id", "text"))
+    drawn = texts(docs).withColumn("draw", F.xxhash64("doc_id", "text", F.monotonically_increasing_id()))
     return map_texts(drawn, cut, schema)
 
 
 def pack(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int = END_ID, group_docs: int = GROUP_DOCS, with_ids: bool = False) -> DataFrame:
     """The pieces with the sequence each one is in and its offset there.
 
-    Documents are dealt by a hash of the row to as many groups as there are
+    Documents are dealt by a hash of the row and its place to as many groups as there are
     ``group_docs`` documents; each group is packed alone by first-fit decreasing, so
     no task sees more than a group. Full pieces are a sequence of their own. A
     sequence is padded to its full length unless it is a power of two long.

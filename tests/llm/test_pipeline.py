@@ -78,7 +78,9 @@ def test_packing(steps):
 
 
 def test_run_gives_the_last_stage(spark, sf, steps):
-    assert sorted(corpus_pipeline.run(spark, sf).collect()) == sorted(steps[5].collect())
+    # The packing group of a row depends on its place in the files, so sequences may differ.
+    piece = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
+    assert sorted(corpus_pipeline.run(spark, sf).select(*piece).collect()) == sorted(steps[5].select(*piece).collect())
 
 
 def test_stages_on_odd_tables(spark, sf, edge, empty):

@@ -1,6 +1,7 @@
 """Token ids, packing and token files."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -95,6 +96,17 @@ def test_pack_edge(edge, empty, edge_rows, library):
     assert pack(empty, PATH).count() == 0
 
 
+def test_equal_rows_are_spread_over_all_groups(spark):
+    docs = spark.range(40_000).selectExpr("cast(null as bigint) AS doc_id", "'the same few words' AS text").repartition(5)
+    rows = pack(docs, PATH).collect()
+    groups = Counter(r.sequence_id >> 32 for r in rows)
+    assert len(rows) == 40_000 and len(groups) == 5 and max(groups.values()) < 1.2 * min(groups.values())
+    used = Counter()
+    for r in rows:
+        used[r.sequence_id] += r.length
+    assert max(used.values()) <= 2048 and sum(used.values()) > 0.98 * 2048 * len(used)
+
+
 def test_perfect_hash():
     keys = document_keys(list(range(5000)) + [None], [0] * 5001)
     index = PerfectHash.build(keys)
