@@ -112,7 +112,13 @@ def _entropy(word: str) -> int:
 
 
 def _plain(word: str) -> bool:
-    return word.isalpha()
+    """Letters alone, or with one stop or hyphen after them."""
+    return word.isalpha() or word[-1:] in (".", "-") and word[:-1].isalpha()
+
+
+def _case(word: str) -> str:
+    case = "X" if word.isupper() else "x" if word.islower() else "Xx" if word[1:].islower() else "xX"
+    return case if word[-1].isalpha() else case + word[-1]
 
 
 def word_features(word: str, words: frozenset[str]) -> tuple[list[str], list[str]]:
@@ -123,7 +129,7 @@ def word_features(word: str, words: frozenset[str]) -> tuple[list[str], list[str
         own = ["edge"] * 10
         shape = ""
     elif _plain(word):
-        shape = "X" if word.isupper() else "x" if word.islower() else "Xx" if word[1:].islower() else "xX"
+        shape = _case(word)
         own = ["b", f"s{shape}", f"n{size}", f"w{name}", f"t{telling}", "plain", f"plain{size}", f"plain{shape}{size}", "-", "-"]
     else:
         shape = _shape(word)
@@ -192,8 +198,7 @@ class Tagger:
         key = word
         if low not in self.field.words and len(word) > 3 and _plain(word) and not _TELLING.search(word):
             # Words that look alike in everything the field can see share a place.
-            case = "X" if word.isupper() else "x" if word.islower() else "Xx" if word[1:].islower() else "xX"
-            key = f" {case}{'<long>' if len(word) > 24 else ''}{min(12, len(word) // 4)}"
+            key = f" {_case(word)}{'<long>' if len(word) > 24 else ''}{min(12, len(word) // 4)}"
         place = self.known.get(key)
         if place is None:
             own, near = word_features(word, self.field.words)
