@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyroll.catalog.base import Query, label_frame, prepared, r8, sql, sql_avg_rank
+from tallyroll.catalog.base import Query, label_frame, prepared, r8, sql, sql_avg_rank, text
 from tallyroll.operators import explore as ex
 from tallyroll.operators.ordered import avg_rank
 from tallyroll.operators.ordered import box_stats as box_stats_of
@@ -36,6 +36,12 @@ FROM (
   GROUP BY ALL)"""
 
 
+def day_series(spark, sf_dir):
+    rows = prepared(spark, sf_dir).select("Merchant_id", "received_day")
+    series = ex.day_series(rows, "received_day", "2016-04-30", 31, ["Merchant_id"])
+    return series.select("Merchant_id", text("received_day"), "n", "so_far")
+
+
 def box_stats(spark, sf_dir):
     items = load_table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice")
     out = box_stats_of(items, "l_extendedprice", ["l_returnflag"])
@@ -67,6 +73,12 @@ def pie_shares(spark, sf_dir):
 
 
 QUERIES = {
+    "day_series": Query(day_series, sql("""
+SELECT Merchant_id, CAST(received_day AS VARCHAR) AS received_day, coalesce(n, 0) AS n,
+  CAST(sum(coalesce(n, 0)) OVER (PARTITION BY Merchant_id ORDER BY received_day) AS BIGINT) AS so_far
+FROM (SELECT DISTINCT Merchant_id FROM prep WHERE received_day BETWEEN '2016-04-30' AND '2016-05-30' AND Merchant_id IS NOT NULL)
+CROSS JOIN (SELECT CAST(d AS DATE) AS received_day FROM generate_series(DATE '2016-04-30', DATE '2016-05-30', INTERVAL 1 DAY) AS t(d))
+LEFT JOIN (SELECT Merchant_id, received_day, count(*) AS n FROM prep GROUP BY ALL) USING (Merchant_id, received_day)""")),
     "received_per_day": Query(
         lambda spark, sf_dir: ex.received_per_day(prepared(spark, sf_dir)),
         sql("SELECT Date_received, count(Coupon_id) AS received FROM prep WHERE Date_received IS NOT NULL GROUP BY 1"),

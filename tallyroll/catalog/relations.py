@@ -96,8 +96,10 @@ def join_suffix_collision(spark, sf_dir):
 
 
 def zip_columns(spark, sf_dir):
-    score = 1 / (1 + F.col("discount"))
-    return label_frame(spark, sf_dir).select("User_id", "Coupon_id", "Date_received", r8(score, "pred"))
+    """Keys and a score that are kept apart, put side by side by the place of the row."""
+    rows = rel.row_positions(label_frame(spark, sf_dir).select("User_id", "Coupon_id", "Date_received", "discount"))
+    scored = rows.select("position", r8(1 / (1 + F.col("discount")), "pred"))
+    return rel.zip_columns(rows.drop("discount"), scored).drop("position")
 
 
 def range_self_count(spark, sf_dir):

@@ -68,35 +68,32 @@ def cond_agg(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def global_stats(df: DataFrame) -> DataFrame:
-    """One row: sizes, distinct ids and the range of both days (raw text days).
+    """One row: sizes, distinct ids and the range of both days (yyyyMMdd text; other text is no day).
 
-    The input is read once: each row becomes one row per id, with the row's own
-    facts beside the first. Rows are summed by (kind, id) before the shuffle.
+    The input is read once: each row becomes one row per id, with the row's own facts
+    beside the first. Rows are summed by (kind, id) before the shuffle. Days are numbers
+    on the way and ids stay what they are, so every step is a hash aggregate.
     """
     kinds = {"coupon": "Coupon_id", "user": "User_id", "merchant": "Merchant_id"}
+    types = {df.schema[c].dataType.simpleString() for c in kinds.values()}
+    as_id = (lambda c: F.col(c)) if len(types) == 1 else (lambda c: F.col(c).cast("string"))
+    days = {"received": "Date_received", "date": "Date"}
+    facts = {
+        "records": F.lit(1).cast("long"), "received": F.col("Date_received").isNotNull().cast("long"),
+        **{f"{n}_day": F.col(c).cast("string").try_cast("int") for n, c in days.items()},
+    }
+    nothing = {name: F.lit(None).cast("long" if name in ("records", "received") else "int") for name in facts}
     ids = F.array(*[
-        F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("id"), F.lit(i == 0).alias("own"))
-        for i, (kind, c) in enumerate(kinds.items())
+        F.struct(F.lit(i).cast("byte").alias("kind"), as_id(c).alias("id"), *[v.alias(name) for name, v in (facts if i == 0 else nothing).items()])
+        for i, c in enumerate(kinds.values())
     ])
-    own = F.col("own")
-    parts = (
-        df.select("Date_received", "Date", F.inline(ids))
-        .groupBy("kind", "id")
-        .agg(
-            F.count_if(own).alias("records"),
-            F.count_if(own & F.col("Date_received").isNotNull()).alias("received"),
-            *[f("Date_received").alias(f"{n}_received") for n, f in (("min", F.min), ("max", F.max))],
-            *[f("Date").alias(f"{n}_date") for n, f in (("min", F.min), ("max", F.max))],
-        )
-    )
+    ranges = [f(f"{n}_day").alias(f"{w}_{n}_day") for n in days for w, f in (("min", F.min), ("max", F.max))]
+    parts = df.select(F.inline(ids)).groupBy("kind", "id").agg(F.sum("records").alias("records"), F.sum("received").alias("received"), *ranges)
     return parts.agg(
         F.coalesce(F.sum("records"), F.lit(0)).alias("record_count"),
         F.coalesce(F.sum("received"), F.lit(0)).alias("received_count"),
-        F.min("min_received").alias("min_received"),
-        F.max("max_received").alias("max_received"),
-        F.min("min_date").alias("min_date"),
-        F.max("max_date").alias("max_date"),
-        *[F.count_if((F.col("kind") == kind) & F.col("id").isNotNull()).alias(f"{kind}_count") for kind in kinds],
+        *[f(f"{w}_{n}_day").cast("string").alias(f"{w}_{n}") for n in days for w, f in (("min", F.min), ("max", F.max))],
+        *[F.count_if((F.col("kind") == i) & F.col("id").isNotNull()).alias(f"{kind}_count") for i, kind in enumerate(kinds)],
     )
 
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyroll.functions.draws import draw
-from tallyroll.operators.aggregates import group_agg, group_count, value_shares
+from tallyroll.operators.aggregates import group_agg, group_count, known, value_shares
 from tallyroll.operators.filters import filter_has_distance, filter_used
 
 
@@ -139,3 +140,24 @@ def pie_shares(df: DataFrame, name: str, value: str, out: str = "share") -> Data
 def scatter_sample(df: DataFrame, x: str, y: str, fraction: float, keys: Sequence[str], seed: int = 0) -> DataFrame:
     """Two columns of a random share of the rows, drawn by a hash of their unique ``keys``."""
     return df.where(F.substring(draw(keys, seed), 1, 8) < f"{int(fraction * (1 << 32)):08x}").select(x, y)
+
+
+def day_series(df: DataFrame, day: str, first: str, days: int, keys: Sequence[str] = ()) -> DataFrame:
+    """For each key, every day of the range: ``n`` rows on it and ``so_far`` rows in the range up to it.
+
+    Days without rows are there too, with 0 and what came before. Rows are counted by
+    (key, day) before the calendar is laid under them, so a hot key has one row a day;
+    keys without a row in the range are left out, and without keys the range is one series.
+    """
+    keys = list(keys)
+    start = F.lit(first).cast("date")
+    inside = known(df, [*keys, day]).where((F.col(day) >= start) & (F.col(day) < F.date_add(start, days)))
+    counts = inside.groupBy(*keys, day).agg(F.count("*").alias("n"))
+    calendar = F.explode(F.sequence(start, F.date_add(start, days - 1))).alias(day)
+    if keys:
+        every = counts.select(*keys).distinct().select(*keys, calendar)
+    else:
+        every = df.sparkSession.range(1).select(calendar)
+    full = every.join(counts, [*keys, day], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    so_far = W.partitionBy(*keys).orderBy(day).rowsBetween(W.unboundedPreceding, 0)
+    return full.withColumn("so_far", F.sum("n").over(so_far))

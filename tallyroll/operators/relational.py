@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyroll.functions.draws import draw
 from tallyroll.operators.aggregates import group_agg
+from tallyroll.runtime import stage
 
 
 def project(df: DataFrame, *columns: str | Column) -> DataFrame:
@@ -135,3 +137,21 @@ def sample_rows(df: DataFrame, k: int, keys: Sequence[str], seed: int = 0) -> Da
     return df.orderBy(draw(keys, seed), *keys).limit(k)
 
 
+def row_positions(df: DataFrame, out: str = "position") -> DataFrame:
+    """``df`` with the place of each row, from 0, as written to files in the order of its partitions.
+
+    A row's place is its number in its file, which the reader knows, and the rows of the
+    files before it, from a table of one row a file. Nothing is sorted, and the places
+    do not depend on how many tasks read the files. The result is a written table.
+    """
+    written = stage(df, "positions").select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = written.groupBy("_file").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1))
+    # One row a file.
+    files = files.select("_file", F.coalesce(before, F.lit(0)).alias("_before"))
+    return stage(written.join(files, "_file").withColumn(out, F.col("_before") + F.col("_row")).drop("_file", "_row", "_before"), "positions")
+
+
+def zip_columns(left: DataFrame, right: DataFrame, position: str = "position") -> DataFrame:
+    """The columns of both side by side, row by row of the same place; where one is shorter, its columns are null."""
+    return left.join(right, position, "full")

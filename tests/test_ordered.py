@@ -146,3 +146,30 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "id int, k int, v double")
     assert od.avg_rank(df, "k", "v", "r", wide=True).count() == 0
     assert od.next_value(df, "k", "v", "id", "n").count() == 0
+
+
+def test_day_series(spark):
+    from tallyroll.operators.explore import day_series
+
+    rows = [("a", "2020-02-27"), ("a", "2020-02-27"), ("a", "2020-03-01"), ("b", "2020-03-02"), ("b", "2020-03-09"), ("c", "2020-01-01"), (None, "2020-02-28"), ("a", None)]
+    df = spark.createDataFrame(rows, "k string, d string").selectExpr("k", "cast(d as date) d")
+    got = {(r["k"], str(r["d"])): (r["n"], r["so_far"]) for r in day_series(df, "d", "2020-02-27", 5, ["k"]).collect()}
+    days = ["2020-02-27", "2020-02-28", "2020-02-29", "2020-03-01", "2020-03-02"]
+    assert got == {**dict(zip([("a", d) for d in days], [(2, 2), (0, 2), (0, 2), (1, 3), (0, 3)])), **dict(zip([("b", d) for d in days], [(0, 0)] * 4 + [(1, 1)]))}
+    whole = [(r["n"], r["so_far"]) for r in day_series(df, "d", "2020-02-27", 5).orderBy("d").collect()]
+    assert whole == [(2, 2), (1, 3), (0, 3), (1, 4), (1, 5)]
+
+
+def test_global_stats_without_sorting(spark):
+    from tallyroll.operators.aggregates import global_stats
+
+    rows = [(1, 5, None, None, "20160203"), (1, 6, 9, "20160102", None), (2, 6, 9, "2016x", "20160301"), (None, None, None, "20160131", None)]
+    df = spark.createDataFrame(rows, "User_id long, Merchant_id long, Coupon_id long, Date_received string, Date string")
+    got = global_stats(df).first().asDict()
+    assert got == {
+        "record_count": 4, "received_count": 3, "coupon_count": 1, "user_count": 2, "merchant_count": 2,
+        "min_received": "20160102", "max_received": "20160131", "min_date": "20160203", "max_date": "20160301",
+    }
+    assert "SortAggregate" not in global_stats(df)._jdf.queryExecution().toString()
+    empty = global_stats(df.limit(0)).first().asDict()
+    assert empty["record_count"] == empty["user_count"] == 0 and empty["min_date"] is None

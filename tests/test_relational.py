@@ -135,3 +135,17 @@ def test_count_distinct_forms_agree(receipts):
     assert bag(one) == bag(two)
     near = ag.group_count_distinct(receipts, ["User_id"], "Merchant_id", "n", approximate=True)
     assert near.count() == one.count()
+
+
+@pytest.mark.parametrize("parts", [1, 2, 16])
+def test_columns_are_zipped_by_position(spark, parts):
+    """The places are those of the rows' order, however many tasks write or read the files."""
+    rows = [(i * 7919 % 101, None if i % 9 == 0 else i) for i in range(101)]
+    left = rel.row_positions(spark.createDataFrame(rows, "k long, v long").coalesce(1).repartitionByRange(parts, "k").sortWithinPartitions("k"))
+    assert [r["k"] for r in left.orderBy("position").collect()] == sorted(k for k, _ in rows)
+    right = left.select("position", (F.col("k") * 2).alias("double"))
+    zipped = rel.zip_columns(left, right).collect()
+    assert sorted(r["position"] for r in zipped) == list(range(101)) and all(r["double"] == 2 * r["k"] for r in zipped)
+    short = rel.zip_columns(left, right.where("position < 40")).collect()
+    assert len(short) == 101 and sum(r["double"] is None for r in short) == 61
+    assert rel.zip_columns(rel.row_positions(left.limit(0).drop("position")), right.limit(0)).count() == 0
