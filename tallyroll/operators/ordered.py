@@ -185,6 +185,19 @@ def group_quantiles(
     return quantiles_of(running_counts(df, keys, value, wide=wide), keys, value, quantiles)
 
 
+def approx_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float], accuracy: int = 10_000
+) -> DataFrame:
+    """Quantiles by key from a mergeable sketch, one column each: values that are in ``df``, not between two of them.
+
+    The rank of a value is off by no more than a share of 1 / ``accuracy`` of the key's
+    rows. A task keeps a sketch for each key, whose size follows ``accuracy``, not the
+    rows or their distinct values. Null keys and values are left out.
+    """
+    rows = known(df, [*keys, value])
+    return rows.groupBy(*keys).agg(*[F.percentile_approx(value, q, accuracy).alias(name) for name, q in quantiles.items()])
+
+
 def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str, wide: bool = False) -> DataFrame:
     """Exact median by key."""
     return group_quantiles(df, keys, value, {out: 0.5}, wide)

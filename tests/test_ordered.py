@@ -173,3 +173,22 @@ def test_global_stats_without_sorting(spark):
     assert "SortAggregate" not in global_stats(df)._jdf.queryExecution().toString()
     empty = global_stats(df.limit(0)).first().asDict()
     assert empty["record_count"] == empty["user_count"] == 0 and empty["min_date"] is None
+
+
+@pytest.mark.parametrize("accuracy", [20, 1000])
+def test_approx_quantiles_keep_their_bound(spark, accuracy):
+    """The rank of each answer, against the exact ranks; one key has nine tenths of all rows."""
+    draw = np.random.default_rng(3)
+    rows = [("hot" if i % 10 else "cold", None if i % 97 == 0 else float(x)) for i, x in enumerate(draw.exponential(size=20_000).round(3))]
+    df = spark.createDataFrame([*rows, (None, 1.0)], "k string, v double").repartition(7)
+    wanted = {"low": 0.1, "mid": 0.5, "high": 0.99}
+    got = {r["k"]: r.asDict() for r in od.approx_quantiles(df, ["k"], "v", wanted, accuracy).collect()}
+    assert set(got) == {"hot", "cold"}
+    for key in got:
+        values = np.sort([v for k, v in rows if k == key and v is not None])
+        for name, q in wanted.items():
+            below, upto = (values < got[key][name]).mean(), (values <= got[key][name]).mean()
+            assert below - 1 / accuracy - 1 / len(values) <= q <= upto + 1 / accuracy + 1 / len(values)
+    exact = {r["k"]: r["mid"] for r in od.group_quantiles(df, ["k"], "v", {"mid": 0.5}).collect()}
+    assert got["hot"]["mid"] == pytest.approx(exact["hot"], abs=0.2)
+    assert od.approx_quantiles(df.limit(0), ["k"], "v", wanted).count() == 0
