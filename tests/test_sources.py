@@ -11,7 +11,7 @@ from tallyroll.sources import (
 )
 
 SF = "/root/testdata/sf0.001"
-HEADER = "User_id,Merchant_id,Coupon_id,Discount_rate,Distance,Date_received,Date\n"
+HEADER = ",".join(RECEIPTS.names) + "\n"
 
 
 def test_csv_nulls(spark, tmp_path):
