@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tallyroll.llm.common import longs, map_groups, map_texts, table, texts
 from tallyroll.llm.hashing import mixed
+from tallyroll.operators.relational import row_positions
 from tallyroll.runtime import stage
 
 LENGTH = 100
@@ -294,8 +295,7 @@ def numbered(docs: DataFrame) -> DataFrame:
         return rows.withColumn("key", F.col("doc_id"))
     hashed = rows.withColumn("text_hash", F.xxhash64("text"))
     pairs = hashed.select("doc_id", "text_hash").distinct().orderBy("doc_id", "text_hash")
-    indexed = pairs.rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1]))
-    keys = stage(docs.sparkSession.createDataFrame(indexed, "key_id long, key_hash long, key long"), "repeats-keys")
+    keys = row_positions(pairs, "key").withColumnsRenamed({"doc_id": "key_id", "text_hash": "key_hash"})
     same = F.col("doc_id").eqNullSafe(F.col("key_id")) & (F.col("text_hash") == F.col("key_hash"))
     return hashed.join(keys, same).select("doc_id", "text", "key")
 
