@@ -41,7 +41,7 @@ SEGMENT, FLUSH, SORTED = 1 << 20, 300_000, 200_000
 #: Different phrases of one trigger in one flush, beyond which they are dealt by phrase.
 CROWD = 8
 #: Characters of text for each group of phrases.
-GROUP_CHARS = 32_000_000
+GROUP_CHARS = 16_000_000
 
 _HASHES = LENGTH - WIDTH + 1
 _SIDE = (LENGTH - WIDTH) // 2
