@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -144,3 +145,28 @@ def test_token_files_edge(spark, edge, empty, edge_rows, library):
     nothing = new_path(spark, "test-token-files")
     write_token_files(empty, nothing, PATH)
     assert read_documents(spark, nothing).count() == 0
+
+
+def test_a_key_is_read_in_a_bounded_number_of_bytes(spark, library):
+    docs = spark.range(0, 40_000, 1, 4).selectExpr("id * 3 AS doc_id", "concat('the words of number ', id) AS text")
+    folder = new_path(spark, "test-token-files")
+    write_token_files(docs, folder, PATH)
+    size = sum(r.length for r in spark.read.format("binaryFile").load(f"{folder}/raw").select("length").collect())
+    counts, asked = [], [0, 3, 60_000, 119_997]
+    found = read_ids(spark, folder, asked, counts)
+    assert found == {k: [*library(f"the words of number {k // 3}"), 2] for k in asked}
+    assert len(counts) == 4 and max(counts) < 2000 < size / 100
+    assert read_ids(spark, folder, [1, 59_999, 10**9, -1]) == {}
+
+
+def test_rows_of_one_id_are_spread_over_tasks(spark):
+    docs = spark.range(0, 40_000, 1, 4).selectExpr("cast(null as bigint) AS doc_id", "concat('number ', id) AS text")
+    folder, setting = new_path(spark, "test-token-files"), "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        write_token_files(docs, folder, PATH)
+    finally:
+        spark.conf.unset(setting)
+    parts = {r.part: r.n for r in spark.read.parquet(f"{folder}/directory").groupBy("part").agg(F.sum("n_ids").alias("n")).collect()}
+    assert len(parts) > 1 and max(parts.values()) < 2 * min(parts.values())
+    assert read_documents(spark, folder).count() == 40_000
