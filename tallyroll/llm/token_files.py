@@ -24,25 +24,27 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from tallyroll.llm.common import longs, map_texts, to_python, table, texts
 from tallyroll.llm.hashing import mixed
 from tallyroll.llm.tokens import public_path, word_encoder
-from tallyroll.runtime import new_path, stage
+from tallyroll.runtime import new_path
 
 END_ID = 2
 #: A shard ends with the document that reaches this many ids.
 SHARD_IDS = 1 << 21
 
 _MAGIC, _LEVELS, _BLOCK = 0x31444C4B4F54, 64, 512
-# magic, documents, ids, bytes an id, blocks, levels, then the bits of each level.
-_HEADER = np.dtype([("numbers", "<u8", 6), ("levels", "<u8", _LEVELS)])
+# magic, documents, ids, bytes an id, blocks, levels, ids before it of the same task, then the bits of each level.
+_HEADER = np.dtype([("numbers", "<u8", 7), ("levels", "<u8", _LEVELS)])
 _RANKED = np.dtype([("before", "<u8"), ("bits", "u1", _BLOCK // 8)])
 _SLOT = np.dtype([("print", "<u4"), ("length", "<u4"), ("start", "<u8")])
 _KEY = np.dtype([("doc_id", "<i8"), ("copy", "<u4"), ("known", "u1")])
 
-_SHARD = "part int, shard int, before long, n_ids long, first_id long, last_id long, bytes binary"
+_SHARD = "part int, shard int, bytes binary"
 _NULL_KEY = np.uint64(0x9AE16A3B2F90404F)
 
 
@@ -101,7 +103,7 @@ class ShardFile:
     def __init__(self, read: Callable[[int, int], bytes]):
         self.read = read
         head = np.frombuffer(read(0, _HEADER.itemsize), _HEADER)[0]
-        magic, self.documents, self.n_ids, self.width, self.blocks, levels = (int(x) for x in head["numbers"])
+        magic, self.documents, self.n_ids, self.width, self.blocks, levels, self.before = (int(x) for x in head["numbers"])
         if magic != _MAGIC:
             raise ValueError("not a shard of token ids")
         self.levels = [int(x) for x in head["levels"][:levels]]
@@ -144,13 +146,13 @@ class ShardFile:
         return slots
 
 
-def _shard_bytes(width: int, doc_ids: list[int | None], copies: list[int], ids: list[np.ndarray]) -> bytes:
+def _shard_bytes(before: int, width: int, doc_ids: list[int | None], copies: list[int], ids: list[np.ndarray]) -> bytes:
     lengths = np.array([len(x) for x in ids], np.int64)
     keys = document_keys(doc_ids, copies)
     index = PerfectHash.build(keys)
     head = np.zeros((), _HEADER)
     ranked = np.zeros(-(-len(index.bits) // _BLOCK), _RANKED)
-    head["numbers"] = (_MAGIC, len(keys), lengths.sum(), width, len(ranked), len(index.sizes))
+    head["numbers"] = (_MAGIC, len(keys), lengths.sum(), width, len(ranked), len(index.sizes), before)
     head["levels"][:len(index.sizes)] = index.sizes
     bits = np.zeros(len(ranked) * _BLOCK, bool)
     bits[:len(index.bits)] = index.bits
@@ -165,12 +167,6 @@ def _shard_bytes(width: int, doc_ids: list[int | None], copies: list[int], ids:
     return b"".join(x.tobytes() for x in (head, ranked, slots, payload, listed))
 
 
-def _shard_row(part: int, number: int, before: int, width: int, doc_ids: list, copies: list, ids: list) -> tuple:
-    known = [x for x in doc_ids if x is not None]
-    first, last = (known[0], known[-1]) if known else (None, None)
-    return part, number, before, sum(len(x) for x in ids), first, last, _shard_bytes(width, doc_ids, copies, ids)
-
-
 def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, shard_ids: int = SHARD_IDS) -> None:
     """Encode every whole text and write the shards below ``folder``.
 
@@ -199,51 +195,65 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = END
                 ids.append(np.append(found[at[i]:at[i + 1]], np.uint32(end_id)))
                 size += len(ids[-1])
                 if size >= shard_ids:
-                    yield pd.DataFrame([_shard_row(part, number, before, width, doc_ids, copies, ids)], columns=names)
+                    yield pd.DataFrame([(part, number, _shard_bytes(before, width, doc_ids, copies, ids))], columns=names)
                     before, number = before + size, number + 1
                     doc_ids, copies, ids, size = [], [], [], 0
         if ids:
-            yield pd.DataFrame([_shard_row(part, number, before, width, doc_ids, copies, ids)], columns=names)
+            yield pd.DataFrame([(part, number, _shard_bytes(before, width, doc_ids, copies, ids))], columns=names)
 
-    spread = ["doc_id", F.xxhash64("text")]
+    spark, spread = docs.sparkSession, ["doc_id", F.xxhash64("text")]
     ordered = texts(docs).repartitionByRange(*spread).sortWithinPartitions(*spread)
-    rows = stage(map_texts(ordered, shards, _SHARD), "token-shards")
-    rows.select("part", "shard", F.col("bytes").cast("string").alias("value")).write.partitionBy("part", "shard").text(f"{folder}/raw")
-    rows.drop("bytes").write.parquet(f"{folder}/directory")
+    rows = map_texts(ordered, shards, _SHARD).select("part", "shard", F.col("bytes").cast("string").alias("value"))
+    rows.write.partitionBy("part", "shard").text(f"{folder}/raw")
 
+    def entries(shard: ShardFile) -> dict[str, list]:
+        known = [x for x in shard.keys()[0] if x is not None]
+        return {"before": [shard.before], "n_ids": [shard.n_ids], "first_id": known[:1] or [None], "last_id": known[-1:] or [None]}
 
-def read_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, copy, start (ids before it in the whole corpus), n_tokens and ids_crc32 of each document.
+    _from_shards(spark, folder, entries, "before long, n_ids long, first_id long, last_id long").write.parquet(f"{folder}/directory")
 
-    Each is found through its shard's index and read from the raw ids.
-    """
-    directory = spark.read.parquet(f"{folder}/directory")
-    parts = directory.groupBy("part").agg(F.sum("n_ids").alias("part_ids"))
-    # One row for each task that wrote.
-    parts = parts.select("part", (F.sum("part_ids").over(Window.orderBy("part")) - F.col("part_ids")).alias("part_start"))
-    starts = directory.join(F.broadcast(parts), "part").select("part", "shard", (F.col("part_start") + F.col("before")).alias("shard_start"))
 
-    schema = pa.schema([("doc_id", pa.int64()), ("copy", pa.int32()), ("part", pa.int32()), ("shard", pa.int32()),
-                        ("inside", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+def _from_shards(spark: SparkSession, folder: str, function: Callable[[ShardFile], dict[str, list]], schema: str) -> DataFrame:
+    """The rows that ``function`` gives for each shard file, after its part and shard."""
+    schema = f"part int, shard int, {schema}"
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
-    def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, number, content in zip(batch["part"].to_pylist(), batch["shard"].to_pylist(), batch["content"], strict=True):
                 data = memoryview(content.as_buffer())
-                shard = ShardFile(lambda at, size, data=data: data[at:at + size])
-                doc_ids, copies = shard.keys()
-                slots = shard.slots(document_keys(doc_ids, copies))
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": doc_ids, "copy": copies.astype(np.int32), "part": [part] * len(slots), "shard": [number] * len(slots),
-                    "inside": slots["start"].astype(np.int64), "n_tokens": slots["length"].astype(np.int64),
-                    "ids_crc32": [zlib.crc32(shard.ids(slot).astype("<u4").tobytes()) for slot in slots],
-                }, schema=schema)
+                columns = function(ShardFile(lambda at, size, data=data: data[at:at + size]))
+                n = len(next(iter(columns.values())))
+                yield pa.RecordBatch.from_pydict({"part": [part] * n, "shard": [number] * n, **columns}, schema=arrow)
 
     place = r"part=(\d+)/shard=(\d+)/[^/]*$"
     raw = spark.read.format("binaryFile").load(f"{folder}/raw").select(
         F.regexp_extract("path", place, 1).cast("int").alias("part"), F.regexp_extract("path", place, 2).cast("int").alias("shard"), "content"
     )
-    read = to_python(raw).mapInArrow(documents, "doc_id long, copy int, part int, shard int, inside long, n_tokens long, ids_crc32 long")
+    return to_python(raw).mapInArrow(run, schema)
+
+
+def read_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, copy, start (ids before it in the whole corpus), n_tokens and ids_crc32 of each document.
+
+    Each is found through its shard's index and read from the raw ids.
+    """
+    directory = spark.read.parquet(f"{folder}/directory")
+    parts = directory.groupBy("part").agg(F.sum("n_ids").alias("part_ids"))
+    # One row for each task that wrote.
+    parts = parts.select("part", (F.sum("part_ids").over(Window.orderBy("part")) - F.col("part_ids")).alias("part_start"))
+    starts = directory.join(parts, "part").select("part", "shard", (F.col("part_start") + F.col("before")).alias("shard_start"))
+
+    def documents(shard: ShardFile) -> dict[str, list]:
+        doc_ids, copies = shard.keys()
+        slots = shard.slots(document_keys(doc_ids, copies))
+        return {
+            "doc_id": doc_ids, "copy": copies.astype(np.int32), "inside": slots["start"].astype(np.int64),
+            "n_tokens": slots["length"].astype(np.int64),
+            "ids_crc32": [zlib.crc32(shard.ids(slot).astype("<u4").tobytes()) for slot in slots],
+        }
+
+    read = _from_shards(spark, folder, documents, "doc_id long, copy int, inside long, n_tokens long, ids_crc32 long")
     start = (F.col("shard_start") + F.col("inside")).alias("start")
     return read.join(starts, ["part", "shard"]).select("doc_id", start, "n_tokens", "ids_crc32", "copy")
 
