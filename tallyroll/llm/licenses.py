@@ -4,8 +4,11 @@ Paragraphs are lines. Features are n-grams of one to three words with a telling
 in them, so a paragraph without a telling word has none and is unknown by construction;
 only the others are classified. A multinomial logistic regression names the licence
 family. Below a probability that is calibrated on rows set aside, the family is unknown.
-A named family is confirmed if the paragraph shares enough word pairs with one of the
-family's templates. All of it is DataFrame expressions and Spark's own model.
+A named family is confirmed if the paragraph holds most word pairs of one of the family's
+templates or names, or, being long itself, has most of its own pairs from a template.
+The unknown class is learned from notices of other licences, real and made up, and its
+threshold is calibrated on licences and turns of phrase that the fit has not seen. All of
+it is DataFrame expressions and Spark's own model.
 """
 
 from __future__ import annotations
@@ -78,6 +81,43 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
 }
 
+# Names by which each family is called in short notices.
+NAMES: dict[str, tuple[str, ...]] = {
+    "apache": ("Apache License 2.0", "Apache License, Version 2.0", "Apache-2.0", "Apache 2.0", "Apache 2 license", "Apache License", "Apache Software License"),
+    "mit": ("MIT License", "MIT", "MIT licence", "MIT/X11 license", "MIT licensed", "MIT-style license", "Expat (MIT) license"),
+    "gpl": ("GNU General Public License", "GNU GPL", "GPL", "GPLv3", "GPLv2", "GPL-3.0-or-later", "GPL-2.0-only", "GNU General Public License v2.0", "GNU GPL version 3"),
+    "lgpl": ("GNU Lesser General Public License", "GNU LGPL", "LGPL", "LGPLv2.1", "LGPLv3", "LGPL-2.1-only", "LGPL-3.0-or-later", "GNU Library General Public License"),
+    "bsd": ("BSD license", "BSD 3-Clause License", "BSD 2-Clause License", "BSD-3-Clause", "BSD-2-Clause", "BSD", "BSD-style license", "new BSD license", "BSD 3-Clause terms"),
+    "mpl": ("Mozilla Public License", "Mozilla Public License 2.0", "Mozilla Public License, v. 2.0", "MPL 2.0", "MPL-2.0", "MPL", "MPL 1.1"),
+    "isc": ("ISC License", "ISC", "ISC licence", "ISC licensed"),
+    "cc-by": ("CC BY 4.0", "CC BY-SA 4.0", "CC-BY-4.0", "CC BY 3.0", "CC BY-SA 3.0", "Creative Commons Attribution 4.0 International", "Creative Commons Attribution-ShareAlike 4.0", "Creative Commons Attribution License"),
+    "cc-by-nc": ("CC BY-NC 4.0", "CC BY-NC-SA 4.0", "CC-BY-NC-4.0", "CC BY-NC 3.0", "Creative Commons Attribution-NonCommercial 4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0", "Creative Commons BY-NC"),
+    "public-domain": ("public domain", "CC0", "CC0 1.0", "CC0 1.0 Universal", "CC0-1.0", "Unlicense", "public domain dedication"),
+}
+
+# Other licences. The second group is kept from the fit that calibrates the threshold.
+OTHER_NAMES = (
+    "Academic Free License 3.0", "Microsoft Public License", "SIL Open Font License 1.1", "Common Development and Distribution License 1.0",
+    "GNU Free Documentation License 1.3", "WTFPL license", "commercial license", "license of the vendor", "end user license agreement", "GFDL",
+    "Open Data Commons Database License", "Ruby license", "Python Software Foundation License", "Common Public License 1.0",
+)
+HELD_OUT_NAMES = (
+    "Eclipse Public License 2.0", "EPL-2.0", "GNU Affero General Public License version 3", "AGPL-3.0", "Boost Software License 1.0",
+    "zlib license", "proprietary license", "Server Side Public License",
+)
+# Names of licences that do not exist: each pattern with each of the words.
+MADE_UP_NAMES = ("{} Public License 2.0", "{} License, Version 2.0", "{} Software License 1.0", "GNU {} General Public License version 3", "{} license", "{} Commons License", "{}-style licence")
+MADE_UP_WORDS = ("acorn", "harbor", "lantern", "meridian", "northern", "open", "shared", "orchid", "common", "quartz", "reciprocal", "source")
+
+# What short notices say around a name. Every fourth is kept from the fit that calibrates the threshold.
+NOTICES = (
+    "{}", "Released under the {}.", "Licensed under the {}", "This code is available under the {}; see LICENSE.", "License: {}",
+    "SPDX-License-Identifier: {}", "Distributed under the terms of the {}", "This code is {}, see the file.", "All texts: {}",
+    "You may use, modify and redistribute it under the {} or later", "The software is covered by the {}.", "Available under {}.",
+    "Copyright 2019 the authors, {}", "This project uses the {} for its source files.", "Dual licence, one of them the {}", "(c) 2020 under {}",
+)
+LONG = 8
+
 # Sentences with telling words that license nothing.
 OTHERS: tuple[str, ...] = (
     "A fishing license is required at the lake.", "Her driving licence expired in May.", "The license plate was covered in mud.",
@@ -86,6 +126,9 @@ OTHERS: tuple[str, ...] = (
     "The Apache people lived in the south west.", "GNU are large antelopes of the plains.", "Copyright 2020 Example Corporation.",
     "All rights reserved.", "The software was slow and the program crashed.", "Copyright law protects authors.",
     "The city will redistribute the funds next year.", "Mozilla held a meeting in town.", "They moved to the public domain name system.",
+    "She works at the Mozilla Foundation.", "He took a degree at MIT.", "Students of MIT met the Apache chiefs.", "The foundation gave money to the school.",
+    "You may not sell this program without written permission.", "No part of it may be copied without prior permission of the publisher.",
+    "Commercial use of the software is not permitted.", "Use of this software is permitted to members only.",
     "Licence fees rose by three percent.", "A licensed electrician must do the work.", "The pub is licensed until midnight.",
 )
 
@@ -106,9 +149,10 @@ _TELLING_STEMS = (
 FEATURES = 1 << 13
 #: About so many documents, drawn by a hash, give the lines that are examples of no licence.
 MAX_DOCS = 300
-#: The most words of a template in one example, and of a paragraph's word pairs that a template must hold.
+#: The fewest and most words of a part of a template that is an example.
 LEAST_WORDS, MOST_WORDS = 3, 30
-CONFIRM = 0.5
+#: The share of word pairs that confirms a family.
+CONFIRM = 0.8
 PRECISION = 0.98
 
 
@@ -147,25 +191,48 @@ def _pairs(words: Column) -> Column:
     return _once(words, pairs)
 
 
-def _sentences(spark: SparkSession) -> DataFrame:
-    """family, words of all templates and other sentences."""
-    rows = [(family, text) for family, every in TEMPLATES.items() for text in every] + [(UNKNOWN, text) for text in OTHERS]
-    listed = F.array(*[F.struct(F.lit(a).alias("family"), F.lit(b).alias("text")) for a, b in rows])
-    return spark.range(1).select(F.inline(listed)).select("family", words_of(F.col("text")).alias("words"))
+def _listed(spark: SparkSession, rows: list[tuple[str, str, bool]]) -> DataFrame:
+    """family, text and aside of the fixed rows."""
+    listed = F.array(*[F.struct(F.lit(a).alias("family"), F.lit(b).alias("text"), F.lit(c).alias("aside")) for a, b, c in rows])
+    return spark.range(1).select(F.inline(listed))
+
+
+def _templates(spark: SparkSession, names: bool) -> DataFrame:
+    """family and words of every template, and of every name if ``names``."""
+    rows = [(family, text, False) for family, every in TEMPLATES.items() for text in (*every, *(NAMES[family] if names else ()))]
+    return _listed(spark, rows).select("family", words_of(F.col("text")).alias("words"))
+
+
+def _notices(spark: SparkSession) -> DataFrame:
+    """family, words and aside of each name, real or made up, in each notice."""
+    rows = [(family, name, False) for family, every in NAMES.items() for name in every]
+    rows += [(UNKNOWN, name, False) for name in OTHER_NAMES] + [(UNKNOWN, name, True) for name in HELD_OUT_NAMES]
+    patterns = _listed(spark, [(UNKNOWN, pattern, False) for pattern in MADE_UP_NAMES])
+    word = F.explode(F.array(*[F.lit(w) for w in MADE_UP_WORDS])).alias("word")
+    made_up = patterns.select("family", "text", "aside", word).select("family", F.replace("text", F.lit("{}"), "word").alias("text"), "aside")
+    said = F.posexplode(F.array(*[F.lit(n) for n in NOTICES])).alias("number", "notice")
+    every = _listed(spark, rows).union(made_up).select("family", "text", "aside", said)
+    return every.select(
+        "family", words_of(F.replace("notice", F.lit("{}"), "text")).alias("words"), (F.col("aside") | (F.col("number") % 4 == 3)).alias("aside")
+    )
 
 
 def examples(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
-    """family and words of the training rows: all runs of words of the templates, and lines that license nothing."""
-    sentences = _sentences(docs.sparkSession)
+    """family, words and aside of the training rows: runs of words of the templates, names in notices, and lines that license nothing.
+
+    ``aside`` marks what is kept from the first fit; it is null where a hash may decide.
+    """
+    spark = docs.sparkSession
+    templates, by_hash = _templates(spark, names=False), F.lit(None).cast("boolean").alias("aside")
     n = F.size("words")
-    runs = sentences.where(F.col("family") != UNKNOWN).select("family", "words", F.explode(F.sequence(F.lit(1), n)).alias("at"))
+    runs = templates.select("family", "words", F.explode(F.sequence(F.lit(1), n)).alias("at"))
     runs = runs.select("family", "words", "at", F.explode(F.sequence(F.lit(LEAST_WORDS), F.lit(MOST_WORDS))).alias("size"))
     runs = runs.where(F.col("at") + F.col("size") - 1 <= n).select("family", F.expr("slice(words, at, size)").alias("words"))
-    whole = sentences.select("family", "words")
+    others = _listed(spark, [(UNKNOWN, text, False) for text in OTHERS]).select("family", words_of(F.col("text")).alias("words"))
     some = about(texts(docs), max_docs, "doc_id", "text")
     lines = some.select(F.explode(F.split("text", "\n")).alias("line"))
-    plain = lines.where(~F.lower("line").rlike(r"licen[cs]|copyright|public domain|spdx")).select(F.lit(UNKNOWN).alias("family"), F.slice(words_of(F.col("line")), 1, 60).alias("words"))
-    return runs.union(whole).union(plain)
+    plain = lines.where(~F.lower("line").rlike(r"licen[cs]|copyright|public domain|spdx")).select(F.lit(UNKNOWN).alias("family"), words_of(F.col("line")).alias("words"))
+    return runs.union(templates).union(others).union(plain).select("family", "words", by_hash).union(_notices(spark))
 
 
 @dataclass(frozen=True)
@@ -190,7 +257,8 @@ class Classifier:
 
 
 def train(docs: DataFrame, max_docs: int = MAX_DOCS) -> Classifier:
-    """Fit on the examples; every fifth one, by hash, is set aside to calibrate the unknown class.
+    """Fit on the examples; some are set aside to calibrate the unknown class: licences that no other example
+    names, every fourth turn of phrase, and every fifth of the rest, by hash.
 
     The threshold is the smallest probability from which on the set-aside rows that are
     named are right in PRECISION of all cases.
@@ -200,10 +268,12 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS) -> Classifier:
     # What several families have says nothing of any.
     one = F.when(F.count_distinct("family") == 1, F.min("family")).otherwise(UNKNOWN).alias("family")
     # Examples are few by construction: the templates' runs, and the lines of max_docs documents.
-    rows = stage(examples(docs, max_docs).select("family", _grams(F.col("words")).alias("grams")).where(F.size("grams") > 0)
-                 .groupBy("grams").agg(one).select("family", "grams", label.cast("double").alias("label")), "license-examples")
+    drawn = F.pmod(F.xxhash64("grams"), F.lit(5)) == 4
+    rows = stage(examples(docs, max_docs).select("family", _grams(F.col("words")).alias("grams"), "aside").where(F.size("grams") > 0)
+                 .groupBy("grams").agg(one, F.bool_and("aside").alias("aside"))
+                 .select("family", "grams", label.cast("double").alias("label"), F.coalesce("aside", drawn).alias("aside")), "license-examples")
     hashed = HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features").transform(rows)
-    aside = F.pmod(F.xxhash64("grams"), F.lit(5)) == 4
+    aside = F.col("aside")
     learner = LogisticRegression(family="multinomial", regParam=1e-4, maxIter=40)
     first = Classifier(families, learner.fit(hashed.where(~aside).coalesce(1)), 0.0)
     tried = first.transform(rows.where(aside).withColumnRenamed("family", "true_family"))
@@ -230,11 +300,15 @@ def find_licenses(docs: DataFrame, classifier: Classifier) -> DataFrame:
     lines = lines.where(_holds_any(F.lower("paragraph"), _TELLING_STEMS)).where(F.lower("paragraph").rlike(_TELLING_TEXT))
     lines = lines.select("doc_id", "line", words_of(F.col("paragraph")).alias("words")).withColumn("grams", _grams(F.col("words")))
     named = classifier.transform(lines).where(F.col("family") != UNKNOWN)
-    templates = _sentences(spark).where(F.col("family") != UNKNOWN).groupBy("family").agg(F.collect_list(_pairs(F.col("words"))).alias("templates"))
+    templates = _templates(spark, names=True).groupBy("family").agg(F.collect_set(_pairs(F.col("words"))).alias("templates"))
     # One row per family.
     both = named.withColumn("pairs", _pairs(F.col("words"))).join(F.broadcast(templates), "family")
-    shared = F.transform("templates", lambda t: F.size(F.array_intersect(t, F.col("pairs"))) / F.least(F.size(t), F.size("pairs")))
-    both = both.withColumn("similarity", F.array_max(shared))
+    # A name of one word has no pair: the word itself must be there, beside one that speaks of a licence.
+    speaks = F.exists("words", lambda w: w.rlike(r"licen[cs]|^spdx$"))
+    own = F.when(speaks, F.concat("pairs", F.array_distinct("words"))).otherwise(F.col("pairs"))
+    least = F.when(F.size("pairs") >= LONG, F.size("pairs"))
+    shared = F.transform("templates", lambda t: F.size(F.array_intersect(t, F.col("own"))) / F.least(F.size(t), F.col("least")))
+    both = both.withColumns({"own": own, "least": least}).withColumn("similarity", F.array_max(shared))
     return both.select("doc_id", "line", "family", "probability", "similarity", (F.col("similarity") >= CONFIRM).alias("confirmed"))
 
 

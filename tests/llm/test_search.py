@@ -533,6 +533,34 @@ def test_licences_without_the_word_licence(spark, classifier):
     assert got == {i: (1, f) for i, (_, f) in enumerate(lines)}
 
 
+HELD_OUT_NOTICES = [
+    ("This package is made available under the terms of the Apache License 2.0", "apache"), ("Apache-2.0 licensed, contributions welcome", "apache"),
+    ("This code is MIT licensed; see LICENSE.", "mit"), ("The library is free under the MIT license", "mit"), ("License :: MIT", "mit"),
+    ("Published under GPLv3 by the maintainers", "gpl"), ("See the GNU General Public License for more details.", "gpl"),
+    ("Covered by the GNU Lesser General Public License version 3", "lgpl"), ("It comes under LGPL-3.0", "lgpl"),
+    ("Use is governed by the BSD 2-Clause License", "bsd"), ("new BSD license applies", "bsd"),
+    ("Files fall under the Mozilla Public License 2.0", "mpl"), ("MPL-2.0 unless noted", "mpl"), ("It is offered under the ISC license", "isc"),
+    ("Images: CC BY-SA 4.0", "cc-by"), ("Photos are shared under CC BY-NC-SA 4.0", "cc-by-nc"),
+    ("Text under a Creative Commons Attribution-NonCommercial 4.0 licence", "cc-by-nc"), ("The data are dedicated to the public domain under CC0 1.0", "public-domain"),
+    ("Eclipse Public License 2.0", None), ("Made available under the Eclipse Public License, version 2.0", None),
+    ("GNU Affero General Public License, version 3", None), ("Published under the Boost Software License 1.0", None),
+    ("Licensed under the Artistic License 2.0", None), ("European Union Public Licence 1.2", None), ("Released under the Open Software License 3.0", None),
+    ("Distributed under the PostgreSQL License", None), ("You may not use this software for commercial purposes without permission.", None),
+    ("He studied at MIT and works for the Mozilla Foundation.", None), ("This software is proprietary; all rights reserved.", None),
+    ("Ask the foundation for permission to use its domain.", None), ("The driving license was issued in March.", None),
+    ("Redistribution of wealth is a topic of the course.", None), ("The warranty does not cover software faults.", None),
+]
+
+
+def test_held_out_notices(spark, classifier):
+    """Notices in words of their own, and licences that no example names (Artistic, European Union, Open Software, PostgreSQL)."""
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(HELD_OUT_NOTICES)], "doc_id long, text string")
+    got = {r.doc_id: r.family for r in licenses.find_licenses(docs, classifier).where("confirmed").collect()}
+    wrong = {HELD_OUT_NOTICES[i][0]: f for i, f in got.items() if f != HELD_OUT_NOTICES[i][1]}
+    missed = [t for i, (t, f) in enumerate(HELD_OUT_NOTICES) if f and i not in got]
+    assert len(wrong) <= 0.05 * len(got) and len(missed) <= 2, (wrong, missed)
+
+
 def test_every_line_with_a_telling_word_is_classified(spark):
     """The search before the classifier lets through what has grams, and nothing else."""
     lines = ["MIT", "ISC", "mit_x11", "GPLv3", "LGPLv2.1", "gpl2", "the software", "domain: x", "Foundation", "cc", "CC0", "BSD-like", "MPL", "commons",
