@@ -27,13 +27,15 @@ def prepared_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preprocess(receipts_test(spark, sf_dir), has_outcome=False)
 
 
-def train_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Staged, as features read the frames several times; the test file is not read."""
-    return split_windows(stage_receipts(receipts(spark, sf_dir)), prepared_test(spark, sf_dir))["train"]
+def train_frames(spark: SparkSession, sf_dir: str, *columns: str) -> dict[str, DataFrame]:
+    """Staged, as features read the frames several times; the test file is not read.
 
+    ``columns`` names those that are read beside the days; without it all are staged."""
+    return split_windows(stage_receipts(receipts(spark, sf_dir), columns), prepared_test(spark, sf_dir))["train"]
 
-def label_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return train_frames(spark, sf_dir)["label"]
+
+def label_frame(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return train_frames(spark, sf_dir, *columns)["label"]
 
 
 def r8(column: str | Column, out: str | None = None) -> Column:

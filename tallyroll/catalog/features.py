@@ -15,11 +15,12 @@ from tallyroll.catalog.base import (
 from tallyroll.features import history as hist
 from tallyroll.features import label as lab
 from tallyroll.features import options as opt
-from tallyroll.operators.filters import WINDOWS
+from tallyroll.operators.filters import WINDOWS, WINDOWS_V1
 from tallyroll.operators.relational import union_rows
 from tallyroll.plans.dataset import (
     build_dataset, build_features, preprocess, train_validate_test,
 )
+from tallyroll.plans.older import older_sets
 from tallyroll.sources import receipts, receipts_test
 
 _ID = ["User_id", "Merchant_id", "Coupon_id", "Date_received"]
@@ -83,6 +84,11 @@ def train_validate_test_query(spark, sf_dir):
     return rounded(reduce(union_rows, [df.withColumn("dataset", F.lit(name)) for name, df in sets.items()]))
 
 
+def older_sets_query(spark, sf_dir):
+    sets = older_sets(receipts(spark, sf_dir), receipts_test(spark, sf_dir))
+    return rounded(reduce(union_rows, [df.withColumn("dataset", F.lit(name)) for name, df in sets.items()]))
+
+
 # --- SQL -------------------------------------------------------------------
 
 _RANKS = {"discount_rate": "discount", "distance": "Distance", "date_received": "Date_received"}
@@ -258,6 +264,23 @@ _V1_LABEL = [
 ]
 
 
+def _older_sql(name: str, label: str, source: str) -> str:
+    return f"""
+SELECT DISTINCT '{name}' AS dataset, User_id, Coupon_id, CAST(Date_received AS BIGINT) AS Date_received, Distance, have_discount,
+  round(discount, 8) AS discount, round(price_or_rate, 8) AS price_before, {", ".join(_V1_LABEL)}, {label} AS label FROM ({source})"""
+
+
+def _older_sets_sql() -> str:
+    def rows(name: str, part: str) -> str:
+        first, days = WINDOWS_V1[name][part]
+        day = f"DATE '{first}'"
+        return f"SELECT * FROM prep WHERE received_day >= {day} AND received_day < {day} + {days}"
+
+    parts = [("train", "label", rows("validate", "history")), ("validate", "label", rows("train", "label")),
+             ("test", "CAST(NULL AS INTEGER)", "SELECT * FROM test_prep")]
+    return sql("\nUNION ALL".join(_older_sql(*part) for part in parts))
+
+
 QUERIES = {
     "user_label_features": Query(on_label(lab.user_label_features), _added_sql(_USER)),
     "merchant_label_features": Query(
@@ -362,5 +385,6 @@ SELECT User_id, Merchant_id, Coupon_id, Discount_rate, Distance, Date_received,
         build_features_query, features_sql("SELECT * EXCLUDE (received_day, use_day, price_or_rate) FROM feats")
     ),
     "build_dataset": Query(build_dataset_query, features_sql(f"SELECT DISTINCT * {_DROPPED} {_INT_DAY} FROM feats")),
+    "older_sets": Query(older_sets_query, _older_sets_sql()),
     "train_validate_test": Query(train_validate_test_query, _all_sets_sql()),
 }

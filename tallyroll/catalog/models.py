@@ -13,7 +13,8 @@ from tallyroll.operators.ordered import exact_auc
 from tallyroll.operators.relational import union_rows
 from tallyroll.plans import model as md
 from tallyroll.plans.dataset import train_validate_test
-from tallyroll.runtime import new_path
+from tallyroll.plans.older import older_sets, train_older
+from tallyroll.runtime import new_path, stage
 from tallyroll.sources import load_table, receipts, receipts_test
 
 _XY = ["x", "y"]
@@ -100,6 +101,11 @@ def score(spark, sf_dir):
     return md.score(_offline(spark, sf_dir), _dataset(spark, sf_dir, "test"))
 
 
+def older_score(spark, sf_dir):
+    sets = older_sets(receipts(spark, sf_dir), receipts_test(spark, sf_dir))
+    return md.score(train_older(stage(sets["train"], "older-train")), sets["test"])
+
+
 def _importance(spark, sf_dir):
     return md.feature_importance(_offline(spark, sf_dir))
 
@@ -142,6 +148,7 @@ FROM (
   FROM prep WHERE discount IS NOT NULL)
 GROUP BY p, n""")),
     "score": Query(score),
+    "older_score": Query(older_score),
     "feature_importance": Query(_importance),
     "top_importance": Query(lambda spark, sf_dir: md.top_importance(_importance(spark, sf_dir))),
     "kmeans_fit": Query(lambda spark, sf_dir: cl.kmeans_fit(points(spark, sf_dir), _XY, 3)),

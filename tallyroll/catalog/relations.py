@@ -68,7 +68,7 @@ def left_join_1key(spark, sf_dir):
 
 
 def left_join_nkey(spark, sf_dir):
-    frames = train_frames(spark, sf_dir)
+    frames = train_frames(spark, sf_dir, *_ID)
     counts = group_count(frames["history"], ["User_id", "Merchant_id"], "pair_total")
     return rel.left_join(frames["label"].select(*_ID), counts, ["User_id", "Merchant_id"])
 
@@ -108,7 +108,7 @@ def range_self_count(spark, sf_dir):
 
 
 def avg_rank(spark, sf_dir):
-    rows = label_frame(spark, sf_dir).select(*_ID, "discount", "Distance")
+    rows = label_frame(spark, sf_dir, *_ID, "discount", "Distance").select(*_ID, "discount", "Distance")
     out = od.avg_rank(rows, "Merchant_id", "discount", "discount_rank", ascending=False)
     out = od.avg_rank(out, "User_id", "Distance", "distance_rank_ascend")
     return out.select(*_ID, "discount_rank", "distance_rank_ascend")

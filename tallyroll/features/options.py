@@ -6,12 +6,13 @@ Counts and ranks are aggregated before they are joined, as in the default groups
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll.functions import fill_sentinel, fill_sentinel_int, ratio
-from tallyroll.operators.aggregates import group_agg
+from tallyroll.operators.aggregates import group_agg, known
 from tallyroll.operators.ordered import average_rank, group_median, range_self_count, rows_before, running_counts
 from tallyroll.operators.relational import agg_join_back, count_over, left_join
 
@@ -94,11 +95,28 @@ def user_prior_same_coupon(df: DataFrame) -> DataFrame:
     return rows_before(df, ["User_id", "Coupon_id"], "received_day", "u_l_prior_same_coupon")
 
 
+def _attach_null_safe(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on keys that may be null; compared as pairs of value and nullness, they get shuffles of their own."""
+    own = {k: f"_{k}" for k in keys}
+    on = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(o)) for k, o in own.items()])
+    return df.join(stats.withColumnsRenamed(own), on, "left").drop(*own.values())
+
+
+def _all_known(*keys: str) -> Column:
+    return reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+
+
 def merchant_pair_counts(df: DataFrame) -> DataFrame:
-    """Receipts by merchant with coupon, with coupon and day, and with user."""
-    df = count_over(df, ["Merchant_id", "Coupon_id"], "mc_l_total")
-    df = count_over(df, ["Merchant_id", "Coupon_id", "received_day"], "mc_l_today")
-    return count_over(df, ["Merchant_id", "User_id"], "mu_l_total")
+    """Receipts by merchant with coupon, with coupon and day, and with user.
+
+    The counts by day are summed to those of the pair, so the rows are joined once for
+    both, and once more for the users, which share no other key.
+    """
+    pair = ["Merchant_id", "Coupon_id"]
+    days = known(df, pair).groupBy(*pair, "received_day").agg(F.count("*").alias("mc_l_today"))
+    days = left_join(days, days.groupBy(*pair).agg(F.sum("mc_l_today").alias("mc_l_total")), pair)
+    days = days.withColumn("mc_l_today", F.when(_all_known("received_day"), F.col("mc_l_today")))
+    return count_over(_attach_null_safe(df, days, [*pair, "received_day"]), ["Merchant_id", "User_id"], "mu_l_total")
 
 
 def user_used_distance_range(history: DataFrame, label: DataFrame) -> DataFrame:
@@ -157,11 +175,18 @@ def merchant_received_n_days(df: DataFrame, days: int) -> DataFrame:
 
 
 def v1_label_features(df: DataFrame) -> DataFrame:
-    """The older counts: only rows with a coupon count."""
-    coupons = F.count("Coupon_id")
-    df = agg_join_back(df, ["User_id", "Coupon_id"], coupons.alias("feature__this_coupon"))
-    df = agg_join_back(df, ["User_id", "received_day"], coupons.alias("feature__today_coupon"))
-    return agg_join_back(df, ["User_id", "received_day", "Coupon_id"], coupons.alias("feature__today_this_coupon"))
+    """The older counts: only rows with a coupon count.
+
+    Rows are counted by (user, day, coupon) once; the two coarser counts are sums of
+    these, put beside them, and the rows are joined with the three once.
+    """
+    keys = ["User_id", "received_day", "Coupon_id"]
+    names = ["feature__this_coupon", "feature__today_coupon", "feature__today_this_coupon"]
+    counts = df.groupBy(*keys).agg(F.count("Coupon_id").alias(names[2]))
+    for name, coarse in ((names[0], ["User_id", "Coupon_id"]), (names[1], keys[:2])):
+        counts = left_join(counts, group_agg(counts, coarse, F.sum(names[2]).alias(name)), coarse)
+    counts = counts.withColumn(names[2], F.when(_all_known(*keys), F.col(names[2])))
+    return _attach_null_safe(df, counts.select(*keys, *names), keys)
 
 
 def v1_basic_features(df: DataFrame) -> DataFrame:

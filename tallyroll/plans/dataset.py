@@ -101,14 +101,18 @@ def build_dataset(features: DataFrame) -> DataFrame:
     return reorder(cast_int_cols(out, types), *KEYS, last=last).dropDuplicates()
 
 
-def stage_receipts(receipts: DataFrame) -> DataFrame:
+def stage_receipts(receipts: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     """Prepared receipts as a staged table.
 
     Nine window frames and many aggregates read it, each only its own columns
     and days. The files are sorted by day, without a shuffle, so that a window
-    skips the pages of other days.
+    skips the pages of other days. ``columns`` names those that will be read beside
+    the days; without it all are kept.
     """
-    return stage(prepare(receipts).sortWithinPartitions("Date_received"), "receipts")
+    ready = prepare(receipts)
+    if columns:
+        ready = ready.select(*columns, "Date_received", "Date")
+    return stage(ready.sortWithinPartitions("Date_received"), "receipts")
 
 
 def stage_inputs(receipts: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:

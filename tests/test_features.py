@@ -1,6 +1,7 @@
 """Feature groups on receipts where one user, merchant and coupon hold a third
 of the rows, against pandas and against each other."""
 
+import re
 from collections import Counter
 
 import numpy as np
@@ -12,6 +13,12 @@ from tallyroll.features import history as hist
 from tallyroll.features import label as lab
 from tallyroll.features import options as opt
 from tallyroll.plans.dataset import build_dataset, build_features, prepare
+from tallyroll.plans.model import score
+from tallyroll.plans.older import older_sets, train_older
+from tallyroll.sources import receipts as load
+from tallyroll.sources import receipts_test
+
+SF = "/root/testdata/sf0.001"
 
 
 def bag(df, columns):
@@ -138,3 +145,44 @@ def test_prior_same_coupon(frames):
 def test_v1_counts_leave_rows_without_coupon(receipts):
     rows = opt.v1_label_features(receipts).where("Coupon_id IS NULL").first()
     assert rows["feature__this_coupon"] is None and rows["feature__today_coupon"] is None
+
+
+def test_v1_counts_by_brute_force(receipts):
+    """Rows without a user, coupon or day among them."""
+    holes = receipts.withColumn("User_id", F.when(F.xxhash64(*receipts.columns) % 11 != 0, F.col("User_id")))
+    rows = opt.v1_label_features(holes).collect()
+    assert len(rows) == holes.count()
+    for name, keys in {
+        "feature__this_coupon": ("User_id", "Coupon_id"), "feature__today_coupon": ("User_id", "received_day"),
+        "feature__today_this_coupon": ("User_id", "received_day", "Coupon_id"),
+    }.items():
+        n = Counter()
+        for r in rows:
+            n[tuple(r[k] for k in keys)] += r["Coupon_id"] is not None
+        assert all(r[name] == (None if None in (at := tuple(r[k] for k in keys)) else n[at]) for r in rows)
+
+
+def test_merchant_pair_counts_without_a_day(receipts):
+    rows = opt.merchant_pair_counts(receipts.withColumn("received_day", F.when(F.col("Distance") > 2, F.col("received_day")))).collect()
+    seen = [r for r in rows if r["Coupon_id"] is not None and r["received_day"] is None]
+    pairs = Counter((r["Merchant_id"], r["Coupon_id"]) for r in rows)
+    assert seen and all(r["mc_l_today"] is None and r["mc_l_total"] == pairs[r["Merchant_id"], r["Coupon_id"]] for r in seen)
+
+
+@pytest.mark.parametrize(("function", "joins"), [(opt.v1_label_features, 1), (opt.merchant_pair_counts, 2)])
+def test_few_joins_of_the_wide_rows(spark, receipts, function, joins):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(function(receipts)._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    shuffles = [x for x in plan.split("\n\n") if re.match(r"\s*\(\d+\) Exchange", x)]
+    assert sum("Discount_rate#" in x for x in shuffles) == joins < len(shuffles)
+
+
+def test_older_sets(receipts, spark):
+    sets = older_sets(load(spark, SF), receipts_test(spark, SF))
+    assert sets["train"].columns == [*sets["test"].columns, "label"]
+    scores = score(train_older(sets["train"], rounds=3), sets["test"]).collect()
+    assert len(scores) == sets["test"].count() and all(0 <= r.Probability <= 1 for r in scores)

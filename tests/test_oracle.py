@@ -14,8 +14,8 @@ def con():
     return connect(SF)
 
 
-# These share fits of 500 to 1900 rounds, which take minutes; test_model.py has their operators.
-LONG = {"train_boosted_trees", "score", "feature_importance", "top_importance", "train_modes", "auc_by_round"}
+# These fit 100 rounds, or share fits of 500 to 1900 rounds, which take minutes; test_model.py has their operators.
+LONG = {"train_boosted_trees", "score", "feature_importance", "top_importance", "train_modes", "auc_by_round", "older_score"}
 
 
 @pytest.mark.parametrize("name", sorted(x for x in QUERIES if x not in LONG))
