@@ -41,6 +41,13 @@ def _assigned(spark, sf_dir):
     return cl.kmeans_assign(points(spark, sf_dir), _XY, _CENTROIDS)
 
 
+def kmeans_two_passes(spark, sf_dir):
+    """Lloyd from given centroids; with no bound on the change of the SSE a run ends after its second pass."""
+    weighted = stage(cl.collapse(points(spark, sf_dir), _XY), "points")
+    centroids, sse = cl.lloyd(weighted, _XY, {3: _CENTROIDS}, sse_tol=float("inf"))[3]
+    return cl.centroid_table(weighted, _XY, centroids).select("cluster", r8("x"), r8("y"), F.round(F.lit(sse), 4).alias("sse"))
+
+
 def _dataset(spark, sf_dir, name):
     """A model table, made and written once for all queries that read it."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
@@ -156,6 +163,16 @@ GROUP BY p, n""")),
         lambda spark, sf_dir: cl.kmeans_fit_vectors(load_table(spark, sf_dir, "embeddings"), "embedding", 4)
     ),
     "kmeans_assign": Query(_assigned, _POINTS_SQL + "SELECT * FROM assigned"),
+    "kmeans_two_passes": Query(kmeans_two_passes, _POINTS_SQL + """, once AS (SELECT cluster, avg(x) AS cx, avg(y) AS cy FROM assigned GROUP BY cluster),
+counted AS (SELECT x, y, count(*) AS n FROM p GROUP BY x, y),
+near AS (
+  SELECT x, y, n, cluster,
+    row_number() OVER (PARTITION BY x, y ORDER BY (x - cx) * (x - cx) + (y - cy) * (y - cy), cluster) AS place
+  FROM counted, once),
+twice AS (SELECT cluster, CAST(sum(n * x) AS DOUBLE) / sum(n) AS cx, CAST(sum(n * y) AS DOUBLE) / sum(n) AS cy FROM near WHERE place = 1 GROUP BY cluster)
+SELECT cluster, round(cx, 8) AS x, round(cy, 8) AS y,
+  (SELECT round(sum(n * ((x - t.cx) * (x - t.cx) + (y - t.cy) * (y - t.cy))), 4) FROM near JOIN twice t USING (cluster) WHERE place = 1) AS sse
+FROM twice"""),
     "kmeans_update": Query(
         lambda spark, sf_dir: cl.kmeans_update(_assigned(spark, sf_dir), _XY).select("cluster", r8("x"), r8("y")),
         _POINTS_SQL + "SELECT cluster, round(avg(x), 8) AS x, round(avg(y), 8) AS y FROM assigned GROUP BY cluster",
