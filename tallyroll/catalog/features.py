@@ -20,8 +20,10 @@ from tallyroll.operators.relational import union_rows
 from tallyroll.plans.dataset import (
     build_dataset, build_features, preprocess, train_validate_test,
 )
+from tallyroll.plans.model import dump_joined
 from tallyroll.plans.older import older_sets
-from tallyroll.sources import receipts, receipts_test
+from tallyroll.runtime import new_path
+from tallyroll.sources import read_csv_header, receipts, receipts_test
 
 _ID = ["User_id", "Merchant_id", "Coupon_id", "Date_received"]
 
@@ -84,6 +86,14 @@ def train_validate_test_query(spark, sf_dir):
     return rounded(reduce(union_rows, [df.withColumn("dataset", F.lit(name)) for name, df in sets.items()]))
 
 
+def dump_joined_query(spark, sf_dir):
+    """The joined training set as it is read back from its dump."""
+    path = new_path(spark, "joined-csv")
+    sets = train_validate_test(receipts(spark, sf_dir), receipts_test(spark, sf_dir), ["train", "validate"])
+    dump_joined(sets["train"], sets["validate"], path)
+    return rounded(read_csv_header(spark, path, union_rows(sets["train"], sets["validate"]).schema))
+
+
 def older_sets_query(spark, sf_dir):
     sets = older_sets(receipts(spark, sf_dir), receipts_test(spark, sf_dir))
     return rounded(reduce(union_rows, [df.withColumn("dataset", F.lit(name)) for name, df in sets.items()]))
@@ -214,10 +224,12 @@ _DROPPED_TEST = "EXCLUDE (Merchant_id, Discount_rate, received_day, price_or_rat
 _INT_DAY = "REPLACE (CAST(Date_received AS BIGINT) AS Date_received)"
 
 
-def _all_sets_sql() -> str:
-    """The three datasets, each from its own windows, as one query."""
+def _all_sets_sql(*names: str) -> str:
+    """The named datasets, or all three, each from its own windows, as one query."""
     parts = []
     for name, windows in (("train", TRAIN), ("validate", VALIDATE), ("test", TEST)):
+        if names and name not in names:
+            continue
         dropped = _DROPPED_TEST if name == "test" else _DROPPED
         body = features_sql(f"SELECT DISTINCT * {dropped} {_INT_DAY}, '{name}' AS dataset FROM feats", windows)
         parts.append(f"SELECT * FROM ({body})")
@@ -386,5 +398,9 @@ SELECT User_id, Merchant_id, Coupon_id, Discount_rate, Distance, Date_received,
     ),
     "build_dataset": Query(build_dataset_query, features_sql(f"SELECT DISTINCT * {_DROPPED} {_INT_DAY} FROM feats")),
     "older_sets": Query(older_sets_query, _older_sets_sql()),
+    "dump_joined": Query(dump_joined_query, f"SELECT * EXCLUDE (dataset) FROM ({_all_sets_sql('train', 'validate')})"),
+    "l_weekday": Query(on_label(opt.receipt_day_and_gap), _added_sql([
+        "CAST(isodow(received_day) AS INTEGER) AS l_weekday", "CAST(Distance = -1 AS INTEGER) AS l_distance_missing",
+    ])),
     "train_validate_test": Query(train_validate_test_query, _all_sets_sql()),
 }

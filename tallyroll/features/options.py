@@ -90,6 +90,13 @@ def days_to_window_end(df: DataFrame, beginning: str, length: int) -> DataFrame:
     return df.withColumn("u_l_days_to_window_end", F.datediff(F.lit(last), "received_day"))
 
 
+def receipt_day_and_gap(df: DataFrame) -> DataFrame:
+    """Weekday of the receipt, from 1 for Monday, and 1 where the distance is missing; a missing day has no weekday."""
+    return df.withColumns({
+        "l_weekday": F.weekday("received_day") + 1, "l_distance_missing": F.when(_known(), 0).otherwise(1),
+    })
+
+
 def user_prior_same_coupon(df: DataFrame) -> DataFrame:
     """Receipts of the same coupon by the user on earlier days."""
     return rows_before(df, ["User_id", "Coupon_id"], "received_day", "u_l_prior_same_coupon")
