@@ -74,6 +74,30 @@ def test_wide_side_is_joined_five_times(frames):
     assert len(re.findall(r"Join LeftOuter", plan)) == 5 + 4
 
 
+def test_copies_are_dropped_without_a_shuffle(frames):
+    out = build_dataset(build_features(frames["history"], frames["all_history"], frames["label"]))
+    above = out._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[0]
+    assert above.count("HashAggregate") == 2 and "Exchange" not in above
+
+
+@pytest.mark.parametrize("key", ["User_id", "Merchant_id", "Coupon_id"])
+def test_maps_are_no_longer_than_the_receipts(frames, key):
+    """One key has a third of the rows and many discounts; each of its rows had a map of all its days before."""
+    maps = lab.rank_stats(frames["label"], key).agg(F.sum(F.size("_days")), F.sum(F.size("_distances"))).first()
+    assert all(0 < size <= frames["label"].where(F.col(key).isNotNull()).count() for size in maps)
+
+
+def test_kinds_by_day_are_no_longer_than_the_receipts(frames):
+    size = lab.merchant_stats(frames["label"]).agg(F.sum(F.size("_kinds_by_day"))).first()[0]
+    assert 0 < size <= frames["label"].count()
+
+
+def test_missing_and_signed_discounts_find_their_row(spark):
+    rows = spark.createDataFrame([(1, d) for d in (0.0, -0.0, None, float("nan"), 0.5)], "User_id long, discount double")
+    stats = rows.select("User_id", F.col("discount").alias("_discount")).distinct().withColumn("found", F.lit(True))
+    assert [r.found for r in lab.attach_stats(rows, stats, "User_id").collect()] == [True] * 5
+
+
 def test_only_needed_columns_are_read(frames):
     plan = lab.merchant_kinds(frames["label"])._jdf.queryExecution().executedPlan().toString()
     schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
