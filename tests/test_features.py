@@ -181,6 +181,12 @@ def test_few_joins_of_the_wide_rows(spark, receipts, function, joins):
     assert sum("Discount_rate#" in x for x in shuffles) == joins < len(shuffles)
 
 
+def test_older_counts_read_the_rows_once(receipts):
+    plan = opt.v1_label_features(receipts)._jdf.queryExecution().optimizedPlan().toString()
+    # The rows and their counts; before, each of the counts read them.
+    assert len(re.findall(r"Relation ", plan)) == 2
+
+
 def test_older_sets(receipts, spark):
     sets = older_sets(load(spark, SF), receipts_test(spark, SF))
     assert sets["train"].columns == [*sets["test"].columns, "label"]
